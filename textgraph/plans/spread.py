@@ -1,0 +1,15 @@
+"""Give every core a share of an input that comes in too few splits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute ``df`` only when it is read in fewer splits than there are cores.
+
+    A file of one row group, or one that cannot be split, is a single task, however costly the work on its
+    rows is. Inputs of many splits, as large ones are, go through unchanged and without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
