@@ -36,7 +36,7 @@ Sources = Sequence[int] | DataFrame
 
 @dataclass(frozen=True)
 class Transitions:
-    """``moves<src, salt, dst, weight>``, where a null dst is "back to the source" and a node's weights add up
+    """``moves<node, salt, dst, weight>``, where a null dst is "back to the source" and a node's weights add up
     to 1; ``hot<node, salts>``, the nodes (HEAD_KEYS at most) whose moves are dealt out over several salts."""
 
     moves: DataFrame
@@ -63,23 +63,23 @@ def transitions(nodes: DataFrame, edges: DataFrame, salt_edges: int = SALT_EDGES
     repeated = edges.groupBy("src", "dst").agg(F.count("*").alias("m"))
     targets = durable(in_degrees(repeated).join(nodes, "node", "left_semi"), "targets")
     live = lookup_join(repeated.withColumnRenamed("dst", "node"), targets, "node", "messages")
-    live = durable(live.select("src", F.col("node").alias("dst"), "m"), "live")
+    live = durable(live.select(F.col("src").alias("node"), F.col("node").alias("dst"), "m"), "live")
 
     total = degrees.agg(F.sum("degree")).first()[0] or 0
     per_salt = max(salt_edges, -(-total // HEAD_KEYS))
     salts = F.ceil(F.col("degree") / per_salt).cast("int")
-    kept = lookup_join(live, degrees.withColumnRenamed("node", "src"), "src", "degree").select(
-        "src",
+    kept = lookup_join(live, degrees, "node", "degree").select(
+        "node",
         F.pmod(F.xxhash64("dst"), salts).cast("int").alias("salt"),
         "dst",
         (F.col("m") / F.col("degree")).alias("weight"),
     )
-    reached = live.groupBy(F.col("src").alias("node")).agg(F.sum("m").alias("reached"))
+    reached = live.groupBy("node").agg(F.sum("m").alias("reached"))
     lost = (
         nodes.join(degrees, "node", "left")
         .join(reached, "node", "left")
         .select(
-            F.col("node").alias("src"),
+            "node",
             F.lit(0).alias("salt"),
             F.lit(None).cast("bigint").alias("dst"),
             F.when(F.col("degree").isNull(), F.lit(1.0))
@@ -113,9 +113,7 @@ def _jumps(sources: DataFrame, ranks: DataFrame | None, alpha: float) -> DataFra
 
 
 def _advance(ranks: DataFrame, graph: Transitions, jumps: DataFrame, alpha: float) -> DataFrame:
-    dealt = _deal_out(ranks, graph.hot)
-    at = (dealt["node"] == graph.moves["src"]) & (dealt["salt"] == graph.moves["salt"])
-    moved = dealt.join(graph.moves, at).select(
+    moved = _deal_out(ranks, graph.hot).join(graph.moves, ["node", "salt"]).select(
         "source",
         F.coalesce("dst", "source").alias("node"),
         (F.col("p") * F.col("weight") * (1 - alpha)).alias("p"),
@@ -143,7 +141,7 @@ def ppr_step(
 def _held(graph: Transitions) -> DataFrame:
     """The moves kept by the executors in join order, so that no iteration shuffles or sorts them again."""
     parts = int(graph.moves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = graph.moves.repartition(parts, "src", "salt").sortWithinPartitions("src", "salt")
+    ordered = graph.moves.repartition(parts, "node", "salt").sortWithinPartitions("node", "salt")
     return ordered.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -211,7 +209,7 @@ def total_mass(nodes: DataFrame, edges: DataFrame, ranks: DataFrame, sources: So
     A node's loss is one number, so this meets ranks and nodes only, not the edges.
     """
     moves = transitions(nodes, edges).moves
-    loss = moves.filter(F.col("dst").isNull()).select(F.col("src").alias("node"), F.col("weight").alias("loss"))
+    loss = moves.filter(F.col("dst").isNull()).select("node", F.col("weight").alias("loss"))
     kept = F.col("p") * (1 - F.coalesce("loss", F.lit(0.0)))
     totals = ranks.join(loss, "node", "left").groupBy("source").agg(F.sum(kept).alias("total"))
     asked = source_table(nodes.sparkSession, sources).select("source").distinct().join(totals, "source", "left")
@@ -262,12 +260,13 @@ def top_k_per_source(ranks: DataFrame, k: int = TOP_K) -> DataFrame:
     """``<source, rank, node, p>``: each source's ``k`` best nodes, all sources in one job.
 
     Spark keeps a task's own best ``k`` before the shuffle; for a ``k`` beyond its limit for that, the best of
-    16 shares of each source are taken first, which is exact too.
+    as many shares of each source as there are shuffle partitions are taken first, which is exact too.
     """
-    limit = int(ranks.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    conf = ranks.sparkSession.conf
+    limit = int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     best = [F.desc("p"), F.desc("node")]
     if k > limit:
-        share = F.pmod(F.xxhash64("node"), F.lit(16))
+        share = F.pmod(F.xxhash64("node"), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
         in_share = F.row_number().over(W.partitionBy("source", share).orderBy(*best))
         ranks = ranks.withColumn("in_share", in_share).filter(F.col("in_share") <= k).drop("in_share")
     ranked = ranks.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(*best)))
