@@ -58,47 +58,41 @@ def init_ranks(nodes: DataFrame, sources: Sources) -> DataFrame:
 
 
 def transitions(nodes: DataFrame, edges: DataFrame, salt_edges: int = SALT_EDGES) -> Transitions:
-    """Prepare a graph for iterating. Every join on one end of the edges stands hot nodes."""
+    """Prepare a graph for iterating. Both joins of the edges, on either end, stand hot nodes.
+
+    Repeated edges are added up first, so that no copies of one edge meet in a task.
+    """
     degrees = durable(out_degrees(edges).join(nodes, "node", "left_semi"), "degrees")
+    known = nodes.withColumn("known", F.lit(True))
+    targets = durable(in_degrees(edges).join(known, "node", "left"), "targets")
     repeated = edges.groupBy("src", "dst").agg(F.count("*").alias("m"))
-    targets = durable(in_degrees(repeated).join(nodes, "node", "left_semi"), "targets")
-    live = lookup_join(repeated.withColumnRenamed("dst", "node"), targets, "node", "messages")
-    live = durable(live.select(F.col("src").alias("node"), F.col("node").alias("dst"), "m"), "live")
-
+    aimed = lookup_join(repeated.withColumnRenamed("dst", "node"), targets, "node", "messages").select(
+        F.col("src").alias("node"),
+        F.xxhash64("node").alias("deal"),
+        F.when(F.col("known"), F.col("node")).alias("dst"),
+        "m",
+    )
     total = degrees.agg(F.sum("degree")).first()[0] or 0
     per_salt = max(salt_edges, -(-total // HEAD_KEYS))
     salts = F.ceil(F.col("degree") / per_salt).cast("int")
-    kept = lookup_join(live, degrees, "node", "degree").select(
-        "node",
-        F.pmod(F.xxhash64("dst"), salts).cast("int").alias("salt"),
-        "dst",
-        (F.col("m") / F.col("degree")).alias("weight"),
+    along_edges = lookup_join(aimed, degrees, "node", "degree").select(
+        "node", F.pmod("deal", salts).cast("int").alias("salt"), "dst", (F.col("m") / F.col("degree")).alias("weight")
     )
-    reached = live.groupBy("node").agg(F.sum("m").alias("reached"))
-    lost = (
-        nodes.join(degrees, "node", "left")
-        .join(reached, "node", "left")
-        .select(
-            "node",
-            F.lit(0).alias("salt"),
-            F.lit(None).cast("bigint").alias("dst"),
-            F.when(F.col("degree").isNull(), F.lit(1.0))
-            .otherwise((F.col("degree") - F.coalesce("reached", F.lit(0))) / F.col("degree"))
-            .alias("weight"),
-        )
-        .filter(F.col("weight") > 0)
+    from_dead_ends = nodes.join(degrees, "node", "left_anti").select(
+        "node", F.lit(0).alias("salt"), F.lit(None).cast("bigint").alias("dst"), F.lit(1.0).alias("weight")
     )
     hot = degrees.filter(F.col("degree") > per_salt).select("node", salts.alias("salts"))
     has_hot = bool(hot.limit(1).collect())
-    return Transitions(durable(kept.union(lost), "moves"), hot if has_hot else None)
+    return Transitions(durable(along_edges.union(from_dead_ends), "moves"), hot if has_hot else None)
 
 
-def _deal_out(ranks: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """Give each rank a row for every salt of its node."""
-    if hot is None:
-        return ranks.withColumn("salt", F.lit(0))
-    dealt = ranks.join(F.broadcast(hot), "node", "left")
-    return dealt.select("source", "node", "p", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+def _at_moves(ranks: DataFrame, graph: Transitions) -> DataFrame:
+    """Each rank with its node's moves; that of a hot node goes to every salt."""
+    if graph.hot is None:
+        return ranks.join(graph.moves.hint("merge"), "node")
+    dealt = ranks.join(F.broadcast(graph.hot), "node", "left")
+    every = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    return dealt.select("source", "node", "p", F.explode(every).alias("salt")).join(graph.moves.hint("merge"), ["node", "salt"])
 
 
 def _jumps(sources: DataFrame, ranks: DataFrame | None, alpha: float) -> DataFrame:
@@ -113,7 +107,7 @@ def _jumps(sources: DataFrame, ranks: DataFrame | None, alpha: float) -> DataFra
 
 
 def _advance(ranks: DataFrame, graph: Transitions, jumps: DataFrame, alpha: float) -> DataFrame:
-    moved = _deal_out(ranks, graph.hot).join(graph.moves, ["node", "salt"]).select(
+    moved = _at_moves(ranks, graph).select(
         "source",
         F.coalesce("dst", "source").alias("node"),
         (F.col("p") * F.col("weight") * (1 - alpha)).alias("p"),
@@ -138,11 +132,12 @@ def ppr_step(
     return _advance(ranks, graph, _jumps(_present(nodes, sources), ranks, alpha), alpha)
 
 
-def _held(graph: Transitions) -> DataFrame:
+def _held(graph: Transitions) -> Transitions:
     """The moves kept by the executors in join order, so that no iteration shuffles or sorts them again."""
     parts = int(graph.moves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = graph.moves.repartition(parts, "node", "salt").sortWithinPartitions("node", "salt")
-    return ordered.persist(StorageLevel.MEMORY_AND_DISK)
+    key = ["node"] if graph.hot is None else ["node", "salt"]
+    ordered = graph.moves.repartition(parts, *key).sortWithinPartitions(*key)
+    return Transitions(ordered.persist(StorageLevel.MEMORY_AND_DISK), graph.hot)
 
 
 def ppr(
@@ -159,12 +154,12 @@ def ppr(
     present = _present(nodes, sources)
     jumps = _jumps(present, None, alpha)
     ranks = init_ranks(nodes, present)
-    moves = _held(graph)
+    held = _held(graph)
     for done in range(1, iterations + 1):
-        ranks = _advance(ranks, Transitions(moves, graph.hot), jumps, alpha)
+        ranks = _advance(ranks, held, jumps, alpha)
         if done % cut_every == 0 or done == iterations:
             ranks = durable(ranks, f"ranks{done}")
-    moves.unpersist()
+    held.moves.unpersist()
     return ranks
 
 
@@ -193,13 +188,13 @@ def run_ppr(
     if start == 0:
         init_ranks(nodes, present).write.mode("overwrite").parquet(_snapshot(base, 0))
     ranks = spark.read.parquet(_snapshot(base, start))
-    moves = _held(graph)
+    held = _held(graph)
     for i in range(start, end):
         jumps = _jumps(present, ranks if i == start else None, alpha)
-        step = _advance(ranks, Transitions(moves, graph.hot), jumps, alpha)
+        step = _advance(ranks, held, jumps, alpha)
         step.write.mode("overwrite").parquet(_snapshot(base, i + 1))
         ranks = spark.read.parquet(_snapshot(base, i + 1))
-    moves.unpersist()
+    held.moves.unpersist()
     return ranks
 
 
@@ -209,7 +204,7 @@ def total_mass(nodes: DataFrame, edges: DataFrame, ranks: DataFrame, sources: So
     A node's loss is one number, so this meets ranks and nodes only, not the edges.
     """
     moves = transitions(nodes, edges).moves
-    loss = moves.filter(F.col("dst").isNull()).select("node", F.col("weight").alias("loss"))
+    loss = moves.filter(F.col("dst").isNull()).groupBy("node").agg(F.sum("weight").alias("loss"))
     kept = F.col("p") * (1 - F.coalesce("loss", F.lit(0.0)))
     totals = ranks.join(loss, "node", "left").groupBy("source").agg(F.sum(kept).alias("total"))
     asked = source_table(nodes.sparkSession, sources).select("source").distinct().join(totals, "source", "left")

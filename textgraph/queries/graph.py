@@ -26,6 +26,7 @@ from .. import (
     top_k_per_source,
     total_mass,
 )
+from ..plans.spread import spread
 from . import table
 
 # Two parts, two suppliers, and no node at all.
@@ -62,7 +63,7 @@ def _ppr_sql(graph: str, iterations: int, sources: list[int] = SOURCES) -> str:
     """CTEs r0..rN, each step with its explicit total and missing mass."""
     ctes = [
         graph,
-        f"asked AS (SELECT unnest([{', '.join(map(str, sources))}]) AS source)",
+        f"asked AS (SELECT unnest([{', '.join(map(str, sources))}]::BIGINT[]) AS source)",
         "degrees AS MATERIALIZED (SELECT src AS node, count(*) AS degree FROM edges GROUP BY 1)",
         "r0 AS (SELECT source, source AS node, 1.0::DOUBLE AS p FROM asked JOIN nodes ON source = node)",
     ]
@@ -101,7 +102,7 @@ def _supplier_nodes(spark: SparkSession, folder: str) -> DataFrame:
 def _whole(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     part, supplier = F.col("l_partkey") * 2, F.col("l_suppkey") * 2 + 1
     both = F.array(F.struct(part.alias("src"), supplier.alias("dst")), F.struct(supplier.alias("src"), part.alias("dst")))
-    edges = table(spark, folder, "lineitem").select(F.inline(both))
+    edges = spread(table(spark, folder, "lineitem").select("l_partkey", "l_suppkey")).select(F.inline(both))
     nodes = _part_nodes(table(spark, folder, "part")).union(_supplier_nodes(spark, folder))
     return nodes, edges
 
