@@ -12,6 +12,7 @@ from textgraph import (
     decode_gaps,
     encode_gaps,
     forward_index,
+    gap_lists,
     lookup_postings,
     postings_lists,
     postings_map,
@@ -68,14 +69,23 @@ def test_blocks_of_any_span_hold_all_postings(spark, span):
     encoded = encode_gaps(p, span)
     assert as_dict(decode_gaps(encoded), "term", "docid") == expected
     gaps = {}
-    for row in sorted(encoded.collect(), key=lambda r: (r["term"], r["block"])):
+    for row in sorted(gap_lists(encoded).collect(), key=lambda r: (r["term"], r["block"])):
+        assert row["df"] == len(row["gaps"])
         gaps.setdefault(row["term"], []).extend(e["gap"] for e in row["gaps"])
+    assert gaps.keys() == {t for t, _ in expected}
     for term, found in gaps.items():
         ids = sorted(d for t, d in expected if t == term)
         assert found == [b - a for a, b in zip([0, *ids], ids)]
     p.unpersist()
 
 
+def test_docids_beyond_double_precision(spark):
+    big = (1 << 62) + 255
+    p = spark.createDataFrame([("a", big, 1), ("a", big + 1, 1)], "term string, docid bigint, tf bigint")
+    assert sorted(r["block"] for r in postings_lists(p, 256).collect()) == [big // 256, big // 256 + 1]
+    assert sorted(r["gap"] for r in encode_gaps(p, 256).collect()) == [1, big]
+
+
 def test_forward_index(spark):
     df, rows = documents(spark, 3)
     flat = forward_index(build_postings(df)).select("docid", F.explode("terms").alias("term", "tf"))

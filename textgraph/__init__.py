@@ -33,6 +33,7 @@ from .operators.postings import (
     decode_gaps,
     encode_gaps,
     forward_index,
+    gap_lists,
     lookup_postings,
     postings_lists,
     postings_map,

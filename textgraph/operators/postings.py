@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,8 +28,8 @@ def term_df(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def _block(span: int):
-    return F.floor(F.col("docid") / F.lit(span)).cast("bigint")
+def _block(span: int) -> Column:
+    return F.expr(f"docid div {span}")
 
 
 def postings_lists(postings: DataFrame, span: int = SPAN) -> DataFrame:
@@ -58,31 +58,37 @@ def forward_index(postings: DataFrame) -> DataFrame:
 
 
 def encode_gaps(postings: DataFrame, span: int = SPAN) -> DataFrame:
-    """``<term, block, prev, df, gaps ARRAY<gap, tf>>``: each docid as the distance from the term's last one.
+    """``<term, block, prev, pos, gap, tf>``: each docid as the distance from the term's one before it.
 
-    ``prev`` is the last docid before the block, 0 for a term's first block; each block decodes by itself. To
-    find it, one number a block is looked at, not the postings.
+    ``prev`` is the last docid before the block, 0 for a term's first block, and ``pos`` the place in the block,
+    so each block decodes by itself. Only the first gap of a block needs another block; to find it, one number
+    a block is ordered by term, not the postings. ``postings`` are read twice: pass written ones.
     """
-    lists = postings_lists(postings, span)
-    ends = postings.groupBy("term", _block(span).alias("block")).agg(F.max("docid").alias("last"))
-    in_order = W.partitionBy("term").orderBy("block")
-    starts = ends.select("term", "block", F.lag("last", 1, 0).over(in_order).alias("prev"))
-    gaps = F.transform(
-        "postings",
-        lambda entry, i: F.struct(
-            (entry["docid"] - F.when(i == 0, F.col("prev")).otherwise(F.get("postings", i - 1)["docid"])).alias("gap"),
-            entry["tf"].alias("tf"),
-        ),
+    blocked = postings.withColumn("block", _block(span))
+    ends = blocked.groupBy("term", "block").agg(F.max("docid").alias("last"))
+    blocks_of_term = W.partitionBy("term").orderBy("block")
+    starts = ends.select("term", "block", F.lag("last", 1, 0).over(blocks_of_term).alias("prev"))
+    in_block = W.partitionBy("term", "block").orderBy("docid")
+    placed = blocked.withColumns(
+        {"pos": F.row_number().over(in_block).cast("bigint") - 1, "before": F.lag("docid").over(in_block)}
     )
-    return lists.join(starts, ["term", "block"]).select("term", "block", "prev", "df", gaps.alias("gaps"))
+    gap = F.col("docid") - F.coalesce("before", "prev")
+    return placed.join(starts.hint("merge"), ["term", "block"]).select("term", "block", "prev", "pos", gap.alias("gap"), "tf")
+
+
+def gap_lists(encoded: DataFrame) -> DataFrame:
+    """``<term, block, prev, df, gaps ARRAY<gap, tf>>``: the gaps of a block as one list."""
+    entries = F.array_sort(F.collect_list(F.struct("pos", "gap", "tf")))
+    lists = encoded.groupBy("term", "block", "prev").agg(F.count("*").alias("df"), entries.alias("entries"))
+    gaps = F.transform("entries", lambda e: F.struct(e["gap"].alias("gap"), e["tf"].alias("tf")))
+    return lists.select("term", "block", "prev", "df", gaps.alias("gaps"))
 
 
 def decode_gaps(encoded: DataFrame) -> DataFrame:
-    """``<term, docid, tf>`` of gap lists: running sums inside each block, from its ``prev`` on."""
-    entries = encoded.select("term", "block", "prev", F.posexplode("gaps").alias("pos", "entry"))
+    """``<term, docid, tf>`` of gaps: running sums inside each block, from its ``prev`` on."""
     so_far = W.partitionBy("term", "block").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
-    docid = F.col("prev") + F.sum("entry.gap").over(so_far)
-    return entries.select("term", docid.alias("docid"), F.col("entry.tf").alias("tf"))
+    docid = F.col("prev") + F.sum("gap").over(so_far)
+    return encoded.select("term", docid.alias("docid"), "tf")
 
 
 def lookup_postings(postings: DataFrame, terms: Sequence[str]) -> DataFrame:

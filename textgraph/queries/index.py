@@ -15,6 +15,7 @@ from .. import (
     encode_gaps,
     fetch_lines,
     forward_index,
+    gap_lists,
     lookup_postings,
     postings_lists,
     postings_map,
@@ -22,6 +23,7 @@ from .. import (
     tf_histogram,
     with_shard,
 )
+from ..plans.durable import durable
 from . import table
 
 # Docids a list block covers here: few, so that common terms have several blocks at every scale.
@@ -92,10 +94,13 @@ def index_sharded_df(spark: SparkSession, folder: str) -> DataFrame:
     return by_shard.groupBy("term").agg(F.sum("df").alias("df"), F.count("*").alias("shards"))
 
 
-def postings_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = encode_gaps(_postings(spark, folder), SPAN)
-    entries = encoded.select("term", "block", F.posexplode("gaps").alias("pos", "e"))
-    return entries.select("term", "block", F.col("pos").cast("bigint").alias("pos"), "e.gap", "e.tf")
+def _encoded(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_gaps(durable(_postings(spark, folder), "postings"), SPAN)
+
+
+def gap_text(spark: SparkSession, folder: str) -> DataFrame:
+    entry = F.transform("gaps", lambda e: F.concat_ws(":", e["gap"], e["tf"]))
+    return gap_lists(_encoded(spark, folder)).withColumn("gaps", F.array_join(entry, " "))
 
 
 def _found(spark: SparkSession, folder: str, width: str) -> DataFrame:
@@ -133,15 +138,27 @@ QUERIES = {
         f"WITH {POSTINGS_SQL} SELECT term, tf, count(*) AS docs FROM postings WHERE term IN ({TERMS_SQL}) GROUP BY 1, 2",
     ),
     "postings_gaps": (
-        postings_gaps,
+        lambda spark, folder: _encoded(spark, folder).drop("prev"),
         f"""WITH {POSTINGS_SQL}
         SELECT term, docid // {SPAN} AS block,
           row_number() OVER (PARTITION BY term, docid // {SPAN} ORDER BY docid) - 1 AS pos,
           docid - lag(docid, 1, 0) OVER (PARTITION BY term ORDER BY docid) AS gap, tf
         FROM postings""",
     ),
+    "postings_gap_lists": (
+        gap_text,
+        f"""WITH {POSTINGS_SQL},
+        gaps AS (
+          SELECT term, docid // {SPAN} AS block, docid, tf,
+            lag(docid, 1, 0) OVER (PARTITION BY term ORDER BY docid) AS before
+          FROM postings
+        )
+        SELECT term, block, min(before) AS prev, count(*) AS df,
+          string_agg((docid - before) || ':' || tf, ' ' ORDER BY docid) AS gaps
+        FROM gaps GROUP BY 1, 2""",
+    ),
     "postings_decode": (
-        lambda spark, folder: decode_gaps(encode_gaps(_postings(spark, folder), SPAN)),
+        lambda spark, folder: decode_gaps(_encoded(spark, folder)),
         f"WITH {POSTINGS_SQL} SELECT term, docid, tf FROM postings",
     ),
     "bool_and": (
