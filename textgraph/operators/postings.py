@@ -57,17 +57,37 @@ def forward_index(postings: DataFrame) -> DataFrame:
     return postings.groupBy("docid").agg(F.map_from_entries(F.collect_list(F.struct("term", "tf"))).alias("terms"))
 
 
-def encode_gaps(postings: DataFrame, span: int = SPAN) -> DataFrame:
+def _previous_ends(ends: DataFrame, highest: int, fan: int) -> DataFrame:
+    """``<term, block, prev>`` of ``<term, block, last>``: the ``last`` of the term's block before, or 0.
+
+    Blocks are looked at in groups of ``fan``; the first of a group asks the groups' own ends in the same way, so
+    no task orders more than ``fan`` rows of a term, however far the docids reach.
+    """
+    if highest < fan:
+        in_order = W.partitionBy("term").orderBy("block")
+        return ends.select("term", "block", F.lag("last", 1, 0).over(in_order).alias("prev"))
+    grouped = ends.withColumn("group", F.expr(f"block div {fan}"))
+    in_group = W.partitionBy("term", "group").orderBy("block")
+    group_ends = grouped.groupBy("term", F.col("group").alias("block")).agg(F.max("last").alias("last"))
+    outer = _previous_ends(group_ends, highest // fan, fan).withColumnRenamed("block", "group")
+    return (
+        grouped.withColumn("before", F.lag("last").over(in_group))
+        .join(outer, ["term", "group"])
+        .select("term", "block", F.coalesce("before", "prev").alias("prev"))
+    )
+
+
+def encode_gaps(postings: DataFrame, span: int = SPAN, fan: int = SPAN) -> DataFrame:
     """``<term, block, prev, pos, gap, tf>``: each docid as the distance from the term's one before it.
 
     ``prev`` is the last docid before the block, 0 for a term's first block, and ``pos`` the place in the block,
     so each block decodes by itself. Only the first gap of a block needs another block; to find it, one number
-    a block is ordered by term, not the postings. ``postings`` are read twice: pass written ones.
+    a block is ordered, not the postings. ``postings`` are read more than once: pass written ones.
     """
     blocked = postings.withColumn("block", _block(span))
+    highest = (postings.agg(F.max("docid")).first()[0] or 0) // span
     ends = blocked.groupBy("term", "block").agg(F.max("docid").alias("last"))
-    blocks_of_term = W.partitionBy("term").orderBy("block")
-    starts = ends.select("term", "block", F.lag("last", 1, 0).over(blocks_of_term).alias("prev"))
+    starts = _previous_ends(ends, highest, fan)
     in_block = W.partitionBy("term", "block").orderBy("docid")
     placed = blocked.withColumns(
         {"pos": F.row_number().over(in_block).cast("bigint") - 1, "before": F.lag("docid").over(in_block)}

@@ -26,8 +26,9 @@ from .. import (
 from ..plans.durable import durable
 from . import table
 
-# Docids a list block covers here: few, so that common terms have several blocks at every scale.
+# Docids a list block covers here, and blocks looked at together: few, so that every scale has several of both.
 SPAN = 256
+FAN = 8
 SHARDS = 4
 TERMS = ["the", "MIT", "License.", "fortune"]
 SEARCHES = {
@@ -95,7 +96,7 @@ def index_sharded_df(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _encoded(spark: SparkSession, folder: str) -> DataFrame:
-    return encode_gaps(durable(_postings(spark, folder), "postings"), SPAN)
+    return encode_gaps(durable(_postings(spark, folder), "postings"), SPAN, FAN)
 
 
 def gap_text(spark: SparkSession, folder: str) -> DataFrame:
