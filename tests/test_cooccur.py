@@ -59,14 +59,6 @@ def test_pmi_equals_brute_force_and_is_symmetric(lines):
         assert found[y, x] == (n, score)
 
 
-def test_ids_have_no_holes_and_may_be_too_many_to_pack(lines, monkeypatch):
-    texts = corpus(6)
-    words = cooccur._dictionary(cooccur.tokenize(lines(*texts), distinct=True).repartition(5), 1)
-    assert sorted(r["id"] for r in words.collect()) == list(range(words.count()))
-    monkeypatch.setattr(cooccur, "PACKABLE", 3)
-    assert as_dict(cooccurrence(lines(*texts), 3), "x", "y") == brute_pairs(texts, 3)
-
-
 def test_hot_words_join_apart_from_the_others(lines, monkeypatch):
     texts = corpus(4)
     monkeypatch.setattr(cooccur, "lookup_join", partial(lookup_join, broadcast_bytes=0, head_keys=12))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import pmi_score
 from ..plans.durable import durable
-from ..plans.sizing import broadcast_if_small
 from ..plans.skew import lookup_join
 from .counts import doc_freq, line_count, tokenize
 
@@ -18,28 +17,14 @@ from .counts import doc_freq, line_count, tokenize
 MIN_COUNT = 10
 # Words of a line are paired block by block; one block pair yields at most BLOCK * BLOCK pairs.
 BLOCK = 256
-# Up to this many words, two ids fit one BIGINT, which makes a smaller and faster grouping key.
-PACKABLE = 3_000_000_000
 # Partners held by one stripe row.
 STRIPE_ENTRIES = 100_000
 
 
 def _dictionary(tokens: DataFrame, min_count: int) -> DataFrame:
-    """``<term, df, id>`` of the words that can be part of a frequent pair, ids from 0 without holes.
-
-    Each task numbers its own words; the few task sizes summed up make the numbers gapless. Both steps are
-    written, so that a word keeps its id whatever is computed again later.
-    """
+    """``<term, df, id>`` of the words that can be part of a frequent pair; written, so that a word keeps its id."""
     frequent = doc_freq(tokens).filter(F.col("df") >= min_count)
-    numbered = durable(frequent.withColumn("number", F.monotonically_increasing_id()), "words").select(
-        "term", "df", F.shiftright("number", 33).alias("task"), F.col("number").bitwiseAND((1 << 33) - 1).alias("at")
-    )
-    earlier_tasks = W.orderBy("task").rowsBetween(W.unboundedPreceding, -1)
-    starts = numbered.groupBy("task").agg(F.count("*").alias("n")).select(
-        "task", F.coalesce(F.sum("n").over(earlier_tasks), F.lit(0)).alias("start")
-    )
-    words = numbered.join(broadcast_if_small(starts), "task")
-    return durable(words.select("term", "df", (F.col("start") + F.col("at")).alias("id")), "dictionary")
+    return durable(frequent.withColumn("id", F.monotonically_increasing_id()), "dictionary")
 
 
 def _block_pairs(ids: Column, block: int) -> Column:
@@ -73,12 +58,7 @@ def _pair_counts(lines: DataFrame, min_count: int, block: int = BLOCK) -> tuple[
     lefts = counted.select("w", "r", (F.col("l") == F.col("r")).alias("same"), F.posexplode("l").alias("i", "x"))
     after = F.slice("r", F.when(F.col("same"), F.col("i") + 2).otherwise(1), block)
     pairs = lefts.select("w", "x", F.explode(after).alias("y"))
-    size = words.count()
-    if size > PACKABLE:
-        counts = pairs.groupBy("x", "y").agg(F.sum("w").alias("n"))
-    else:
-        packed = pairs.groupBy((F.col("x") * size + F.col("y")).alias("pair")).agg(F.sum("w").alias("n"))
-        counts = packed.select(F.expr(f"pair div {size}").alias("x"), F.expr(f"pair % {size}").alias("y"), "n")
+    counts = pairs.groupBy("x", "y").agg(F.sum("w").alias("n"))
     return counts.filter(F.col("n") >= min_count), words
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.text import score_text
 from ..plans.durable import durable
 from ..plans.skew import HEAD_KEYS, lookup_join
-from .graph import in_degrees, out_degrees
+from .graph import in_degrees, missing_nodes, out_degrees
 
 # The random jump factor and the number of nodes reported.
 ALPHA = 0.15
@@ -62,10 +62,11 @@ def transitions(nodes: DataFrame, edges: DataFrame, salt_edges: int = SALT_EDGES
 
     Repeated edges are added up first, so that no copies of one edge meet in a task.
     """
-    degrees = durable(out_degrees(edges).join(nodes, "node", "left_semi"), "degrees")
+    repeated = durable(edges.groupBy("src", "dst").agg(F.count("*").alias("m")), "edges")
+    sent = repeated.groupBy(F.col("src").alias("node")).agg(F.sum("m").alias("degree"))
+    degrees = durable(sent.join(nodes, "node", "left_semi"), "degrees")
     known = nodes.withColumn("known", F.lit(True))
-    targets = durable(in_degrees(edges).join(known, "node", "left"), "targets")
-    repeated = edges.groupBy("src", "dst").agg(F.count("*").alias("m"))
+    targets = durable(in_degrees(repeated).join(known, "node", "left"), "targets")
     aimed = lookup_join(repeated.withColumnRenamed("dst", "node"), targets, "node", "messages").select(
         F.col("src").alias("node"),
         F.xxhash64("node").alias("deal"),
@@ -198,15 +199,23 @@ def run_ppr(
     return ranks
 
 
+def _losses(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``<node, loss>``: the part of its mass a node cannot hand on to nodes with a record, where there is any."""
+    absent = durable(missing_nodes(nodes, edges), "missing")
+    astray = lookup_join(edges.withColumnRenamed("dst", "node"), absent, "node", "messages")
+    lost = astray.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("lost"))
+    shares = out_degrees(edges).join(lost, "node").select("node", (F.col("lost") / F.col("degree")).alias("loss"))
+    dead_ends = nodes.join(out_degrees(edges), "node", "left_anti").select("node", F.lit(1.0).alias("loss"))
+    return shares.union(dead_ends)
+
+
 def total_mass(nodes: DataFrame, edges: DataFrame, ranks: DataFrame, sources: Sources) -> DataFrame:
     """``<source, total, missing>`` of one distribution of ``ranks`` along the edges, before any jump.
 
-    A node's loss is one number, so this meets ranks and nodes only, not the edges.
+    A node's loss is one number, so ranks meet nodes only, not edges.
     """
-    moves = transitions(nodes, edges).moves
-    loss = moves.filter(F.col("dst").isNull()).groupBy("node").agg(F.sum("weight").alias("loss"))
     kept = F.col("p") * (1 - F.coalesce("loss", F.lit(0.0)))
-    totals = ranks.join(loss, "node", "left").groupBy("source").agg(F.sum(kept).alias("total"))
+    totals = ranks.join(_losses(nodes, edges), "node", "left").groupBy("source").agg(F.sum(kept).alias("total"))
     asked = source_table(nodes.sparkSession, sources).select("source").distinct().join(totals, "source", "left")
     total = F.coalesce("total", F.lit(0.0))
     return asked.select("source", total.alias("total"), F.greatest(1 - total, F.lit(0.0)).alias("missing"))

@@ -15,5 +15,7 @@ def local_session(cpus: int | str = "*", memory: str = "20g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", partitions)
+        # Most aggregates here have far more groups than the small first-level map holds.
+        .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
         .getOrCreate()
     )
