@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 # A table is broadcast only up to this many bytes.
 BROADCAST_BYTES = 64 << 20
-# Bytes reckoned for a row besides its strings.
+# Bytes reckoned for a row besides its strings and nested values.
 ROW_BYTES = 64
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Rows and string lengths of ``df`` summed up in one job; only the sum reaches the driver."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    """Rows, string lengths and nested values (as JSON text) of ``df`` summed up in one job; only the sum is returned."""
     row = F.lit(ROW_BYTES).cast("bigint")
-    for name in strings:
-        row = row + F.coalesce(F.octet_length(name), F.lit(0))
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            row = row + F.coalesce(F.octet_length(df[field.name]), F.lit(0))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            row = row + F.coalesce(F.octet_length(F.to_json(F.struct(df[field.name]))), F.lit(0))
     return df.agg(F.sum(row)).first()[0] or 0
 
 
