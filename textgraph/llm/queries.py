@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..queries import table
 from .decontaminate import leaks
 from .exact_dedup import exact_duplicates
+from .licenses import license_spans
 from .mixing import mix
 from .secrets import secret_spans
 from .simhash import near_duplicates
 from .token_counts import byte_level_pieces, token_counts
+from .toxicity import toxicity
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
@@ -38,6 +40,14 @@ FROM (
 """
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_spans(table(spark, folder, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("source", "times")
 
@@ -57,6 +67,8 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
+    "op3_toxicity": (op3_toxicity, None),
+    "op4_license_scan": (op4_license_scan, None),
     "op6_mix_sources": (op6_mix_sources, None),
     "op8_secret_scan": (op8_secret_scan, None),
     "op9_decontaminate": (op9_decontaminate, None),
