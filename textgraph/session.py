@@ -12,6 +12,7 @@ def local_session(cpus: int | str = "*", memory: str = "20g") -> SparkSession:
         .appName("textgraph")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", partitions)
