@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..queries import table
+from .context_tree import context_tree_scores
 from .decontaminate import leaks
 from .exact_dedup import exact_duplicates
 from .licenses import license_spans
@@ -52,6 +53,10 @@ def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("source", "times")
 
 
+def op7_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return context_tree_scores(table(spark, folder, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_spans(table(spark, folder, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_toxicity": (op3_toxicity, None),
     "op4_license_scan": (op4_license_scan, None),
     "op6_mix_sources": (op6_mix_sources, None),
+    "op7_context_tree": (op7_context_tree, None),
     "op8_secret_scan": (op8_secret_scan, None),
     "op9_decontaminate": (op9_decontaminate, None),
     "op10_simhash": (op10_simhash, None),
