@@ -10,6 +10,7 @@ from .decontaminate import leaks
 from .exact_dedup import exact_duplicates
 from .licenses import license_spans
 from .mixing import mix
+from .repeats import remove_repeats
 from .secrets import secret_spans
 from .simhash import near_duplicates
 from .token_counts import byte_level_pieces, token_counts
@@ -49,6 +50,10 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_spans(table(spark, folder, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("source", "times")
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
     "op3_toxicity": (op3_toxicity, None),
     "op4_license_scan": (op4_license_scan, None),
+    "op5_suffix_dedup": (op5_suffix_dedup, None),
     "op6_mix_sources": (op6_mix_sources, None),
     "op7_context_tree": (op7_context_tree, None),
     "op8_secret_scan": (op8_secret_scan, None),
