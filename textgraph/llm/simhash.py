@@ -58,13 +58,13 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def _forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links that connect exactly those of ``prints`` which links of at most ``radius`` bits connect."""
-    links, waiting = [], prints
+    links, waiting = [], prints.view(np.uint64)  # of signed numbers, NumPy counts the bits of the magnitude
     while len(waiting):
         frontier, waiting = waiting[:1], waiting[1:]
         while len(frontier) and len(waiting):
             at, frontier = frontier[0], frontier[1:]
             near = np.bitwise_count(waiting ^ at) <= radius
-            links += [(int(at), int(other)) for other in waiting[near]]
+            links += [(int(at.view(np.int64)), int(other)) for other in waiting[near].view(np.int64)]
             frontier = np.concatenate([frontier, waiting[near]])
             waiting = waiting[~near]
     return links
