@@ -153,7 +153,7 @@ def train_field(odds: np.ndarray, features: np.ndarray, real: np.ndarray, toxic:
 
 
 def calibrate(most: np.ndarray, expected: np.ndarray, toxic: np.ndarray, rounds: int = 60) -> tuple[float, float, float]:
-    """A logistic model of a document's label by its highest marginal and its expected number of toxic words."""
+    """A logistic model of a document's label by its highest marginal and its expected number of offending words."""
     x = np.stack([np.ones_like(most), most, np.log1p(expected)], axis=1)
     theta, ridge = np.zeros(3), np.diag([1e-3, 1e-2, 1e-2])
     for _ in range(rounds):  # Newton's method
@@ -227,7 +227,7 @@ def _sampled_chains(labelled: DataFrame, odds: np.ndarray) -> tuple[np.ndarray,
 
 
 def _read(docs: DataFrame, field: Field, with_spans: bool) -> DataFrame:
-    """``<doc_id, most, expected, spans>``: highest marginal, expected number of toxic words, offending places."""
+    """``<doc_id, most, expected, spans>``: highest marginal, expected number of offending words, offending places."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,8 +242,9 @@ def _read(docs: DataFrame, field: Field, with_spans: bool) -> DataFrame:
                 p = found[at : at + len(own)].ravel()[: len(emission)]
                 at += len(own)
                 most.append(float(p.max(initial=0.0)))
-                expected.append(float(p.sum()))
-                bad = set(np.flatnonzero(p >= 0.5).tolist()) if with_spans else ()
+                offending = p >= 0.5
+                expected.append(float(p[offending].sum()))  # of a long text, many faint suspicions are none
+                bad = set(np.flatnonzero(offending).tolist()) if with_spans else ()
                 places = [m.span() for k, m in enumerate(_WORD.finditer(value.decode())) if k in bad] if bad else []
                 spans.append(",".join(f"{a}:{b}" for a, b in places))
             arrays = [pa.array(ids, pa.int64()), pa.array(most, pa.float64()), pa.array(expected, pa.float64()), pa.array(spans, pa.string())]
