@@ -8,7 +8,7 @@ import pytest
 from conftest import as_dict
 from pyspark.sql import functions as F
 
-from textgraph import cooccurrence, pair_counts, pmi, stripes, top_pair, top_partners
+from textgraph import cooccurrence, pair_counts, pmi, read_lines, stripes, top_pair, top_partners
 from textgraph.functions.text import pmi_score
 from textgraph.operators import cooccur
 from textgraph.plans.skew import lookup_join
@@ -44,6 +44,21 @@ def test_all_pairs_without_support(lines):
     assert as_dict(cooccurrence(lines(*texts), 1), "x", "y") == brute_pairs(texts, 1)
 
 
+def test_lines_need_no_id_and_one_id_may_repeat(spark, lines, tmp_path):
+    texts = corpus(6)
+    (tmp_path / "t.txt").write_text("\n".join(texts))
+    assert as_dict(cooccurrence(read_lines(spark, str(tmp_path)), 3), "x", "y") == brute_pairs(texts, 3)
+    same_id = lines(*texts).withColumn("docid", F.lit(1))
+    assert as_dict(cooccurrence(same_id, 3), "x", "y") == brute_pairs(texts, 3)
+
+
+def test_a_very_long_line(lines):
+    common = [f"c{i}" for i in range(40)]
+    texts = [" ".join([*(f"u{i}" for i in range(300_000)), *common])] + [" ".join(common)] * 9
+    found = cooccurrence(lines(*texts), 10)
+    assert found.count() == 40 * 39 and found.filter("n <> 10").count() == 0
+
+
 def test_support_starts_at_ten(lines):
     texts = ["nine often"] * 9 + ["ten often"] * 10
     assert as_dict(cooccurrence(lines(*texts)), "x", "y") == {("often", "ten"): 10, ("ten", "often"): 10}

@@ -38,6 +38,11 @@ def test_vocab_positions_follow_byte_order(lines):
     assert found == {"first": ("Zed", 1), "third_to_last": ("d", 1)}
 
 
+def test_vocab_positions_of_small_vocabularies(lines):
+    for text, expected in (("", set()), ("b", {"first"}), ("b a", {"first"}), ("b a c", {"first", "third_to_last"})):
+        assert {r["position"] for r in vocab_positions(word_count(tokenize(lines(text)))).collect()} == expected
+
+
 def test_lines_of_a_text(spark):
     texts = ["a\nb", "a\r\nb\rc", "", "\n", "a\n\n", "a\n"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(lines_in(F.col("t")).alias("l"))

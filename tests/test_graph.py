@@ -1,5 +1,6 @@
 import pytest
 from conftest import as_dict
+from pyspark.sql import functions as F
 
 from textgraph import (
     duplicate_nodes,
@@ -61,7 +62,9 @@ def test_saved_graph(spark, tmp_path):
 
 def test_range_partition(spark):
     nodes, _ = graph(spark, [0, 1, 24, 25, 50, 99, 100, 130, 1_000_003], [])
-    parts = as_dict(range_partition(nodes, 4, 100), "node")
+    moved = range_partition(nodes, 4, 100)
+    parts = as_dict(moved, "node")
+    assert all(r["part"] == r["at"] for r in moved.withColumn("at", F.spark_partition_id()).collect())
     assert parts == {0: 0, 1: 0, 24: 0, 25: 1, 50: 2, 99: 3, 100: 0, 130: 1, 1_000_003: 0}
 
 

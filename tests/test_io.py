@@ -3,7 +3,7 @@ import random
 import pytest
 from conftest import as_dict
 
-from textgraph import documents_of, lines_of, read_lines, read_lines_with_offset, write_tsv, write_tuples
+from textgraph import bool_search, build_postings, documents_of, fetch_lines, lines_of, read_lines, read_lines_with_offset, write_tsv, write_tuples
 from textgraph.plans.durable import durable, shared_folder
 
 
@@ -36,8 +36,32 @@ def test_offsets_across_splits_and_files(spark, tmp_path, split_bytes):
             spark.conf.set(key, value)
     found = {}
     for row in rows:
-        found.setdefault(row["file"].rsplit("/", 1)[1].removesuffix(".txt"), {})[row["docid"]] = row["line"]
+        found.setdefault(row["file"].rsplit("/", 1)[1].removesuffix(".txt"), {})[row["offset"]] = row["line"]
     assert found == written
+    assert len({row["docid"] for row in rows}) == len(rows)
+    assert all(row["docid"] == row["offset"] for row in rows if row["file"].endswith("a.txt"))
+
+
+def test_a_finer_split_at_reading_is_an_error_and_never_loses_lines(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("".join(f"line {i}\n" for i in range(20_000)))
+    lines = read_lines_with_offset(spark, str(tmp_path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        with pytest.raises(Exception, match="split differently"):
+            lines.filter("docid >= 0").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_of_several_files_are_documents_apart(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("red rose\n")
+    (tmp_path / "b.txt").write_text("red car\n")
+    lines = read_lines_with_offset(spark, str(tmp_path))
+    postings = build_postings(lines)
+    assert as_dict(postings.filter("term = 'red'").select("docid", "tf"), "docid") == {0: 1, 9: 1}
+    assert bool_search(postings, {"q": "rose car AND"}).count() == 0
+    assert [r["line"] for r in fetch_lines(bool_search(postings, {"q": "rose red AND"}), lines).collect()] == ["red rose"]
 
 
 def test_read_lines(spark, tmp_path):
@@ -69,6 +93,19 @@ def test_tuples(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "out")).first()["value"] == "(Jan 24 09,26473)"
 
 
+def test_a_cluster_without_the_setting_is_an_error():
+    class Session:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+
+
 def test_durable_rows_live_in_the_shared_folder(spark):
     df = durable(spark.range(5), "five")
     assert all(shared_folder(spark) in f for f in df.inputFiles())

@@ -185,3 +185,14 @@ def test_iterations_do_not_shuffle_the_moves_again(spark):
     scan_side = join[: join.index("InMemoryTableScan")].rsplit("+- ", 2)
     assert "Exchange" not in scan_side[-1] and "Sort" not in scan_side[-2]
     held.moves.unpersist()
+
+
+def test_a_second_record_is_an_error(spark):
+    nodes, edges = graph(spark, [1, 2, 2, 3], [(1, 2), (2, 3), (3, 1)])
+    for job in (
+        lambda: ppr(nodes, edges, [1], 3),
+        lambda: ppr_step(nodes, edges, init_ranks(nodes, [1]), [1]),
+        lambda: total_mass(nodes, edges, init_ranks(nodes, [1]), [1]),
+    ):
+        with pytest.raises(Exception, match="node 2 has 2 records"):
+            job()

@@ -58,7 +58,9 @@ def test_blocks_of_any_span_hold_all_postings(spark, span, fan):
     df, rows = documents(spark, 2)
     p, expected = build_postings(df).cache(), brute(rows)
     lists = postings_lists(p, span)
-    assert lists.filter(F.size("postings") != F.col("df")).count() == 0
+    assert lists.filter(F.size("postings") != F.col("block_df")).count() == 0
+    whole = Counter(t for t, _ in expected)
+    assert all(row["df"] == whole[row["term"]] for row in lists.collect())
     for row in lists.collect():
         ids = [e["docid"] for e in row["postings"]]
         assert ids == sorted(ids) and {i // span for i in ids} == {row["block"]}
@@ -70,7 +72,7 @@ def test_blocks_of_any_span_hold_all_postings(spark, span, fan):
     assert as_dict(decode_gaps(encoded), "term", "docid") == expected
     gaps = {}
     for row in sorted(gap_lists(encoded).collect(), key=lambda r: (r["term"], r["block"])):
-        assert row["df"] == len(row["gaps"])
+        assert row["block_df"] == len(row["gaps"]) and row["df"] == whole[row["term"]]
         gaps.setdefault(row["term"], []).extend(e["gap"] for e in row["gaps"])
     assert gaps.keys() == {t for t, _ in expected}
     for term, found in gaps.items():

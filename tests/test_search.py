@@ -76,3 +76,21 @@ def test_fetch_whole_lines_and_snippets(lines):
         ("q", i): line for i, line in enumerate([*TEXTS, "rose " + "x" * 100]) if "rose" in line.split()
     }
     assert as_dict(fetch_lines(hits, collection, "snippet"), "query_id", "docid")["q", 7] == "rose " + "x" * 75
+
+
+def test_thousands_of_queries_share_few_conditions(lines):
+    words = [f"t{i}" for i in range(100)]
+    texts = [" ".join(w for j, w in enumerate(words) if (i * 7 + j * 3) % 5 == 0) for i in range(40)]
+    holding = {w: {i for i, t in enumerate(texts) if w in t.split()} for w in words}
+    queries, expected = {}, {}
+    for q in range(5000):
+        a, b = words[q % 100], words[q // 100]
+        queries[str(q)] = f"{a} {b} {'AND' if q % 2 else 'OR'}"
+        expected[str(q)] = sorted(holding[a] & holding[b] if q % 2 else holding[a] | holding[b])
+    found = answers(bool_search(build_postings(lines(*texts)), queries))
+    assert found == {q: ids for q, ids in expected.items() if ids}
+
+
+def test_no_query_is_an_error(lines):
+    with pytest.raises(ValueError, match="no query"):
+        bool_search(build_postings(lines(*TEXTS)), {})

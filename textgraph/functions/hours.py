@@ -30,7 +30,7 @@ def instant_hour_number(ts: Column) -> Column:
 def parse_message_date(date: Column) -> Column:
     """``Mon Jan 24 09:26:30 +0000 2011`` to an instant; null when it is not such a date."""
     known_weekday = F.lower(F.substring(date, 1, 4)).isin([f"{day} " for day in WEEKDAYS])
-    return F.when(known_weekday, F.try_to_timestamp(F.substring(date, 5, 1_000), F.lit(DATE_AFTER_WEEKDAY)))
+    return F.when(known_weekday, F.try_to_timestamp(date.substr(F.lit(5), F.length(date)), F.lit(DATE_AFTER_WEEKDAY)))
 
 
 def hour_key(hour: Column) -> Column:

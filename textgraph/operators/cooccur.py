@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import pmi_score
+from ..functions.text import pmi_score, ws_tokens
 from ..plans.durable import durable
 from ..plans.skew import lookup_join
-from .counts import doc_freq, line_count, tokenize
+from .counts import doc_freq, line_count
 
 # Fixed value: a pair counts from its tenth line on.
 MIN_COUNT = 10
@@ -21,52 +21,65 @@ BLOCK = 256
 STRIPE_ENTRIES = 100_000
 
 
+def _token_lines(lines: DataFrame) -> DataFrame:
+    """``<id, terms>``: each line's distinct terms under an id of its own, written once and read from then on.
+
+    So lines need no key, and lines of one key are lines apart. The write is balanced over tasks.
+    """
+    terms = F.array_distinct(ws_tokens(F.col("line")))
+    return durable(lines.select(F.monotonically_increasing_id().alias("id"), terms.alias("terms")).hint("rebalance"), "lines")
+
+
 def _dictionary(tokens: DataFrame, min_count: int) -> DataFrame:
-    """``<term, df, id>`` of the words that can be part of a frequent pair; written, so that a word keeps its id."""
+    """``<term, df, word>`` of the words that can be part of a frequent pair; written, so that a word keeps its id."""
     frequent = doc_freq(tokens).filter(F.col("df") >= min_count)
-    return durable(frequent.withColumn("id", F.monotonically_increasing_id()), "dictionary")
-
-
-def _block_pairs(ids: Column, block: int) -> Column:
-    """All pairs (block i, block j), i <= j, of a sorted array cut into blocks."""
-    starts = F.sequence(F.lit(1), F.size(ids), F.lit(block))
-    return F.flatten(
-        F.transform(
-            starts,
-            lambda i: F.transform(
-                F.filter(starts, lambda j: j >= i),
-                lambda j: F.struct(F.slice(ids, i, block).alias("l"), F.slice(ids, j, block).alias("r")),
-            ),
-        )
+    return durable(frequent.withColumn("word", F.monotonically_increasing_id()), "dictionary")
+
+
+def _blocks(known: DataFrame, block: int) -> DataFrame:
+    """``<l, r>``: the blocks of each line's words that are to be paired, r null where a block meets itself.
+
+    A line of up to ``block`` terms is one block. The words of a longer one are dealt to blocks by hash, before any
+    of them are gathered; each block then goes to the pairs it is part of, so no row holds more than two blocks.
+    """
+    dealt = known.withColumn("b", F.pmod(F.xxhash64("word"), F.col("blocks")))
+    sets = dealt.groupBy("id", "blocks", "b").agg(F.sort_array(F.collect_list("word")).alias("words"))
+    alone = sets.filter(F.size("words") > 1).select(F.col("words").alias("l"), F.lit(None).cast("array<bigint>").alias("r"))
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda o: o != F.col("b"))
+    sent = sets.filter(F.col("blocks") > 1).select("id", "b", "words", F.explode(others).alias("o"))
+    met = sent.groupBy("id", F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q")).agg(
+        F.min_by("words", "b").alias("l"), F.max_by("words", "b").alias("r"), F.count("*").alias("n")
     )
+    return alone.unionByName(met.filter(F.col("n") == 2).select("l", "r"))
 
 
-def _pair_counts(lines: DataFrame, min_count: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """``<x, y, n>`` with x < y as dictionary ids, and the dictionary.
+def _pair_counts(lines: DataFrame, min_count: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``<x, y, n>`` with x < y as dictionary ids, the dictionary, and the written lines.
 
     A word on fewer than ``min_count`` lines cannot be part of a frequent pair, so only the dictionary's words
-    are paired. Equal blocks of words (copies of a line, above all) are counted before they are paired, and the
-    shuffle that does so also spreads the blocks of an overlong line over all tasks.
+    are paired. Equal blocks of words (copies of a line, above all) are counted before they are paired.
     """
-    key = [c for c in lines.columns if c != "line"]
-    tokens = tokenize(lines, distinct=True)
+    written = _token_lines(lines)
+    blocks = F.greatest(F.ceil(F.size("terms") / block), F.lit(1)).cast("bigint")
+    tokens = written.select("id", blocks.alias("blocks"), F.explode("terms").alias("term"))
     words = _dictionary(tokens, min_count)
-    known = lookup_join(tokens, words, "term", "df")
-    word_sets = known.groupBy(*key).agg(F.sort_array(F.collect_list("id")).alias("ids")).filter(F.size("ids") > 1)
-    blocks = word_sets.select(F.explode(_block_pairs(F.col("ids"), block)).alias("b")).select("b.l", "b.r")
-    counted = blocks.groupBy("l", "r").agg(F.count("*").alias("w"))
-    lefts = counted.select("w", "r", (F.col("l") == F.col("r")).alias("same"), F.posexplode("l").alias("i", "x"))
-    after = F.slice("r", F.when(F.col("same"), F.col("i") + 2).otherwise(1), block)
-    pairs = lefts.select("w", "x", F.explode(after).alias("y"))
-    counts = pairs.groupBy("x", "y").agg(F.sum("w").alias("n"))
-    return counts.filter(F.col("n") >= min_count), words
+    known = lookup_join(tokens, words, "term", "df").select("id", "blocks", "word")
+    counted = _blocks(known, block).groupBy("l", "r").agg(F.count("*").alias("w"))
+    lefts = counted.select("w", "l", "r", F.posexplode("l").alias("i", "a"))
+    others = F.when(F.col("r").isNull(), F.slice("l", F.col("i") + 2, F.size("l"))).otherwise(F.col("r"))
+    pairs = lefts.select("w", "a", F.explode(others).alias("b"))
+    counts = pairs.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.sum("w").alias("n"))
+    return counts.filter(F.col("n") >= min_count), words, written
 
 
 def _with_terms(counts: DataFrame, words: DataFrame) -> DataFrame:
-    """``<a, b, df_a, df_b, n>`` of id pairs. Pairs are unique, so no id owns more rows than there are words."""
-    a = words.select(F.col("id").alias("x"), F.col("term").alias("a"), F.col("df").alias("df_a"))
-    b = words.select(F.col("id").alias("y"), F.col("term").alias("b"), F.col("df").alias("df_b"))
-    return counts.join(a, "x").join(b, "y").drop("x", "y")
+    """``<a, b, df_a, df_b, n>`` of id pairs; a word with very many partners is dealt over several tasks."""
+    pairs = counts = durable(counts, "counts")
+    for side, term in (("x", "a"), ("y", "b")):
+        partners = counts.groupBy(side).agg(F.count("*").alias("partners"))
+        named = words.select(F.col("word").alias(side), F.col("term").alias(term), F.col("df").alias(f"df_{term}"))
+        pairs = lookup_join(pairs, durable(named.join(partners, side), "named"), side, "partners").drop(side, "partners")
+    return pairs
 
 
 def _both_orders(pairs: DataFrame, *others: str) -> DataFrame:
@@ -80,15 +93,17 @@ def _both_orders(pairs: DataFrame, *others: str) -> DataFrame:
 def cooccurrence(lines: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK) -> DataFrame:
     """``<x, y, n>``: ordered pairs of different words and the number of lines, ``min_count`` or more, with both.
 
-    ``lines`` has, besides ``line``, columns that identify the line.
+    Each row of ``lines`` is a line, whether it has an id or not; columns besides ``line`` are not read.
     """
-    return _both_orders(_with_terms(*_pair_counts(lines, min_count, block)), "n")
+    counts, words, _ = _pair_counts(lines, min_count, block)
+    return _both_orders(_with_terms(counts, words), "n")
 
 
 def pmi(lines: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK) -> DataFrame:
     """``<x, y, n, pmi>``: the pairs of :func:`cooccurrence` with their pointwise mutual information (log10)."""
-    pairs = _with_terms(*_pair_counts(lines, min_count, block))
-    total = line_count(lines).scalar()
+    counts, words, written = _pair_counts(lines, min_count, block)
+    pairs = _with_terms(counts, words)
+    total = line_count(written).scalar()
     scored = pairs.withColumn("pmi", pmi_score(F.col("n"), F.col("df_a"), F.col("df_b"), total))
     return _both_orders(scored, "n", "pmi")
 

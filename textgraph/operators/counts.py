@@ -40,7 +40,7 @@ def distinct_terms(tokens: DataFrame) -> DataFrame:
 
 
 def vocab_positions(counts: DataFrame) -> DataFrame:
-    """The first and the third-to-last term in sorted order, ``<position, term, cnt>``.
+    """The first and the third-to-last term in sorted order, ``<position, term, cnt>``; each only where there is one.
 
     Both ends come from top-k selections, so no task sees the whole sorted vocabulary.
     """
@@ -48,5 +48,9 @@ def vocab_positions(counts: DataFrame) -> DataFrame:
     last_three = counts.orderBy(F.desc("term")).limit(3)
     return (
         first.select(F.lit("first").alias("position"), "term", "cnt")
-        .union(last_three.orderBy("term").limit(1).select(F.lit("third_to_last"), "term", "cnt"))
+        .union(
+            last_three.agg(F.count("*").alias("n"), F.min(F.struct("term", "cnt")).alias("least"))
+            .filter(F.col("n") == 3)
+            .select(F.lit("third_to_last"), "least.term", "least.cnt")
+        )
     )

@@ -31,6 +31,13 @@ def duplicate_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("node").agg(F.count("*").alias("records")).filter(F.col("records") > 1)
 
 
+def checked_nodes(nodes: DataFrame) -> DataFrame:
+    """The nodes; when they are read, a node with more than one record is an error."""
+    counted = nodes.groupBy("node").agg(F.count("*").alias("records"))
+    told = F.concat(F.lit("node "), F.col("node").cast("string"), F.lit(" has "), F.col("records").cast("string"), F.lit(" records"))
+    return counted.select(F.when(F.col("records") > 1, F.raise_error(told).cast("bigint")).otherwise(F.col("node")).alias("node"))
+
+
 def missing_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``<node, messages>``: edge targets without a record and the edges to them.
 
@@ -40,9 +47,10 @@ def missing_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def range_partition(nodes: DataFrame, parts: int, node_count: int) -> DataFrame:
-    """Add ``part``: the share of the id range 0..node_count that a node lies in, ids beyond it wrapped."""
+    """Move each node to the partition of its share of the id range 0..node_count, ids beyond it wrapped; add ``part``."""
     share = F.floor(F.col("node").cast("double") / node_count * parts)
-    return nodes.withColumn("part", F.pmod(share, F.lit(parts)).cast("bigint"))
+    placed = nodes.withColumn("part", F.pmod(share, F.lit(parts)).cast("bigint"))
+    return placed.repartitionById(parts, F.col("part").cast("int"))
 
 
 def hash_partition(df: DataFrame, parts: int, key: str = "src") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.text import score_text
 from ..plans.durable import durable
 from ..plans.skew import HEAD_KEYS, lookup_join
-from .graph import in_degrees, missing_nodes, out_degrees
+from .graph import checked_nodes, in_degrees, missing_nodes, out_degrees
 
 # The random jump factor and the number of nodes reported.
 ALPHA = 0.15
@@ -60,8 +60,10 @@ def init_ranks(nodes: DataFrame, sources: Sources) -> DataFrame:
 def transitions(nodes: DataFrame, edges: DataFrame, salt_edges: int = SALT_EDGES) -> Transitions:
     """Prepare a graph for iterating. Both joins of the edges, on either end, stand hot nodes.
 
-    Repeated edges are added up first, so that no copies of one edge meet in a task.
+    Repeated edges are added up first, so that no copies of one edge meet in a task. A second record of a node is
+    an error.
     """
+    nodes = durable(checked_nodes(nodes), "nodes")
     repeated = durable(edges.groupBy("src", "dst").agg(F.count("*").alias("m")), "edges")
     sent = repeated.groupBy(F.col("src").alias("node")).agg(F.sum("m").alias("degree"))
     degrees = durable(sent.join(nodes, "node", "left_semi"), "degrees")
@@ -88,7 +90,11 @@ def transitions(nodes: DataFrame, edges: DataFrame, salt_edges: int = SALT_EDGES
 
 
 def _at_moves(ranks: DataFrame, graph: Transitions) -> DataFrame:
-    """Each rank with its node's moves; that of a hot node goes to every salt."""
+    """Each rank with its node's moves; that of a hot node goes to every salt.
+
+    ``merge`` joins in the order in which the moves are held. Where many sources have reached a hot node, its ranks
+    are many too; adaptive execution splits such a partition on the ranks' side.
+    """
     if graph.hot is None:
         return ranks.join(graph.moves.hint("merge"), "node")
     dealt = ranks.join(F.broadcast(graph.hot), "node", "left")
@@ -201,6 +207,7 @@ def run_ppr(
 
 def _losses(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``<node, loss>``: the part of its mass a node cannot hand on to nodes with a record, where there is any."""
+    nodes = durable(checked_nodes(nodes), "nodes")
     absent = durable(missing_nodes(nodes, edges), "missing")
     astray = lookup_join(edges.withColumnRenamed("dst", "node"), absent, "node", "messages")
     lost = astray.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("lost"))

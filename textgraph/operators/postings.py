@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..plans.durable import durable
+from ..plans.skew import lookup_join
 from .counts import tokenize
 
 SPAN = 1 << 16
@@ -32,18 +34,23 @@ def _block(span: int) -> Column:
     return F.expr(f"docid div {span}")
 
 
+def _with_df(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with ``df``, the number of documents of the term, from the ``block_df`` of all its blocks."""
+    sums = blocks.groupBy("term").agg(F.sum("block_df").alias("df"), F.count("*").alias("blocks"))
+    return lookup_join(blocks, durable(sums, "df"), "term", "blocks").drop("blocks")
+
+
 def postings_lists(postings: DataFrame, span: int = SPAN) -> DataFrame:
-    """``<term, block, df, postings ARRAY<docid, tf>>``, docids ascending; ``df`` is that of the block.
+    """``<term, block, df, block_df, postings ARRAY<docid, tf>>``, docids ascending.
 
-    The blocks of a term in block order are its whole list, and their ``df`` add up to the term's.
+    ``df`` is the number of documents of the term, ``block_df`` of those in the block. The blocks of a term in block
+    order are its whole list.
     """
-    return (
-        postings.groupBy("term", _block(span).alias("block"))
-        .agg(
-            F.count("*").alias("df"),
-            F.array_sort(F.collect_list(F.struct("docid", "tf"))).alias("postings"),
-        )
+    blocks = postings.groupBy("term", _block(span).alias("block")).agg(
+        F.count("*").alias("block_df"),
+        F.array_sort(F.collect_list(F.struct("docid", "tf"))).alias("postings"),
     )
+    return _with_df(durable(blocks, "lists")).select("term", "block", "df", "block_df", "postings")
 
 
 def postings_map(postings: DataFrame, span: int = SPAN) -> DataFrame:
@@ -82,8 +89,9 @@ def encode_gaps(postings: DataFrame, span: int = SPAN, fan: int = SPAN) -> DataF
 
     ``prev`` is the last docid before the block, 0 for a term's first block, and ``pos`` the place in the block,
     so each block decodes by itself. Only the first gap of a block needs another block; to find it, one number
-    a block is ordered, not the postings. ``postings`` are read more than once: pass written ones.
+    a block is ordered, not the postings. As they are read more than once, they are written first.
     """
+    postings = durable(postings, "postings")
     blocked = postings.withColumn("block", _block(span))
     highest = (postings.agg(F.max("docid")).first()[0] or 0) // span
     ends = blocked.groupBy("term", "block").agg(F.max("docid").alias("last"))
@@ -97,11 +105,12 @@ def encode_gaps(postings: DataFrame, span: int = SPAN, fan: int = SPAN) -> DataF
 
 
 def gap_lists(encoded: DataFrame) -> DataFrame:
-    """``<term, block, prev, df, gaps ARRAY<gap, tf>>``: the gaps of a block as one list."""
+    """``<term, block, prev, df, block_df, gaps ARRAY<gap, tf>>``: the gaps of a block as one list, and the term's df."""
     entries = F.array_sort(F.collect_list(F.struct("pos", "gap", "tf")))
-    lists = encoded.groupBy("term", "block", "prev").agg(F.count("*").alias("df"), entries.alias("entries"))
+    lists = encoded.groupBy("term", "block", "prev").agg(F.count("*").alias("block_df"), entries.alias("entries"))
     gaps = F.transform("entries", lambda e: F.struct(e["gap"].alias("gap"), e["tf"].alias("tf")))
-    return lists.select("term", "block", "prev", "df", gaps.alias("gaps"))
+    blocks = durable(lists.select("term", "block", "prev", "block_df", gaps.alias("gaps")), "lists")
+    return _with_df(blocks).select("term", "block", "prev", "df", "block_df", "gaps")
 
 
 def decode_gaps(encoded: DataFrame) -> DataFrame:

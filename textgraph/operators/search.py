@@ -32,12 +32,20 @@ def _single(postings: DataFrame, query: str) -> DataFrame:
     return bool_search(postings, {"q": query}).select("docid")
 
 
-def _condition(query: str, flag_of: Mapping[str, Column]) -> Column:
-    """The postfix query as a condition on match flags; operands beyond the last result are left unused."""
+def _shape(query: str) -> tuple[tuple[int | str, ...], list[str]]:
+    """The query with each term replaced by its number by first appearance, and the terms in that order."""
+    numbers: dict[str, int] = {}
+    shape = tuple(t if t in OPERATORS else numbers.setdefault(t, len(numbers)) for t in query.split())
+    return shape, list(numbers)
+
+
+def _condition(shape: tuple[int | str, ...], query: str) -> Column:
+    """A query's shape as a condition on match flags; operands beyond the last result are left unused."""
     operands: list[Column] = []
-    for token in query.split():
+    for token in shape:
         if token not in OPERATORS:
-            operands.append(flag_of[token])
+            word, flag = divmod(token, FLAGS)
+            operands.append(F.col(f"m{word}").bitwiseAND(F.lit(1 << flag)) != 0)
             continue
         if len(operands) < 2:
             raise ValueError(f"{token} lacks operands in query: {query}")
@@ -52,23 +60,27 @@ def bool_search(postings: DataFrame, queries: Mapping[str, str]) -> DataFrame:
     """``<query_id, docid>`` of each postfix query, such as ``{"q1": "white red OR rose AND"}``, by docid.
 
     One scan, pruned to the terms asked for, serves all queries, and one shuffle on (query, docid) puts each
-    document's match flags together; no term's postings meet in one task. An unknown term matches nothing.
+    document's match flags together; no term's postings meet in one task. Queries that differ in their terms alone
+    are of one shape and share one condition, so thousands of queries are a small table and a few branches. An
+    unknown term matches nothing; no query at all is a ``ValueError``.
     """
-    used = {q: sorted(set(text.split()) - set(OPERATORS)) for q, text in queries.items()}
-    flags = {q: {t: (i // FLAGS, 1 << (i % FLAGS)) for i, t in enumerate(terms)} for q, terms in used.items()}
-    words = 1 + max(word for of in flags.values() for word, _ in of.values())
-    schema = "query_id string, term string, word int, flag bigint"
-    asked_rows = [(q, t, word, flag) for q, of in flags.items() for t, (word, flag) in of.items()]
-    asked = postings.sparkSession.createDataFrame(asked_rows, schema)
-    terms = sorted({t for of in used.values() for t in of})
-    matched = lookup_postings(postings, terms).join(broadcast_if_small(asked), "term")
-    by_document = matched.groupBy("query_id", "docid").agg(
-        *[F.bit_or(F.when(F.col("word") == w, F.col("flag")).otherwise(0)).alias(f"m{w}") for w in range(words)]
-    )
-    answers = F.lit(False)
+    if not queries:
+        raise ValueError("no query")
+    shapes: dict[tuple[int | str, ...], int] = {}
+    answers, asked_rows, most = None, [], 1
     for q, text in queries.items():
-        flag_of = {t: F.col(f"m{word}").bitwiseAND(F.lit(flag)) != 0 for t, (word, flag) in flags[q].items()}
-        answers = F.when(F.col("query_id") == q, _condition(text, flag_of)).otherwise(answers)
+        shape, terms = _shape(text)
+        if shape not in shapes:
+            branch = F.col("shape") == len(shapes), _condition(shape, text)
+            answers = F.when(*branch) if answers is None else answers.when(*branch)
+            shapes[shape] = len(shapes)
+        most = max(most, len(terms))
+        asked_rows += [(q, shapes[shape], t, i // FLAGS, 1 << (i % FLAGS)) for i, t in enumerate(terms)]
+    asked = postings.sparkSession.createDataFrame(asked_rows, "query_id string, shape int, term string, word int, flag bigint")
+    matched = lookup_postings(postings, sorted({row[2] for row in asked_rows})).join(broadcast_if_small(asked), "term")
+    by_document = matched.groupBy("query_id", "shape", "docid").agg(
+        *[F.bit_or(F.when(F.col("word") == w, F.col("flag")).otherwise(0)).alias(f"m{w}") for w in range(-(-most // FLAGS))]
+    )
     return by_document.filter(answers).select("query_id", "docid").orderBy("query_id", "docid")
 
 

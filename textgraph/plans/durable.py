@@ -2,10 +2,12 @@
 
 A written table survives lost executors, fixes generated ids, and tells Catalyst its size, so that whether
 a later join broadcasts it is decided by ``spark.sql.autoBroadcastJoinThreshold`` and not by a blind hint.
+The tables are scratch: they are deleted when the application ends.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,18 +17,25 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names; only a local session without one gets a folder of its own."""
+    """The folder the session names. Only where driver and executors are one process does it get one of its own."""
     named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textgraph-"))
-    return spark.sparkContext.getCheckpointDir()
+    return _scratch(spark, spark.sparkContext.getCheckpointDir())
+
+
+def _scratch(spark: SparkSession, path: str) -> str:
+    """``path``, to be deleted when the application ends."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` now and go on from the written rows."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(_scratch(df.sparkSession, path))

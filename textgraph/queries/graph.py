@@ -26,13 +26,12 @@ from .. import (
     top_k_per_source,
     total_mass,
 )
-from ..plans.spread import spread
 from . import table
 
 # Two parts, two suppliers, and no node at all.
 SOURCES = [2, 14, 7, 11, -1]
-RECORD_SIZE = 45
-ACTIVE_SIZE = 40
+# Two customers, an order, a part, and no node at all.
+TRADERS = [4, 28, 21, 10, -1]
 PARTS = 8
 
 WHOLE_SQL = """
@@ -42,14 +41,14 @@ edges AS (
   UNION ALL SELECT 2 * l_suppkey + 1, 2 * l_partkey FROM lineitem
 )"""
 
-THINNED_SQL = f"""
+TRADE_SQL = """
 nodes AS (
-  SELECT 2 * p_partkey AS node FROM part WHERE p_size <= {RECORD_SIZE} UNION ALL SELECT 2 * s_suppkey + 1 FROM supplier
+  SELECT 4 * c_custkey AS node FROM customer UNION ALL SELECT 4 * o_orderkey + 1 FROM orders UNION ALL SELECT 4 * p_partkey + 2 FROM part
 ),
 edges AS (
-  SELECT 2 * l_partkey AS src, 2 * l_suppkey + 1 AS dst
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= {ACTIVE_SIZE}
-  UNION ALL SELECT 2 * l_suppkey + 1, 2 * l_partkey FROM lineitem
+  SELECT 4 * o_custkey AS src, 4 * o_orderkey + 1 AS dst FROM orders
+  UNION ALL SELECT 4 * l_orderkey + 1, 4 * l_partkey + 2 FROM lineitem
+  UNION ALL SELECT 4 * l_partkey + 2, 4 * l_suppkey + 3 FROM lineitem
 )"""
 
 ADJACENCY_SQL = """
@@ -102,17 +101,24 @@ def _supplier_nodes(spark: SparkSession, folder: str) -> DataFrame:
 def _whole(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     part, supplier = F.col("l_partkey") * 2, F.col("l_suppkey") * 2 + 1
     both = F.array(F.struct(part.alias("src"), supplier.alias("dst")), F.struct(supplier.alias("src"), part.alias("dst")))
-    edges = spread(table(spark, folder, "lineitem").select("l_partkey", "l_suppkey")).select(F.inline(both))
+    edges = table(spark, folder, "lineitem").select(F.inline(both))
     nodes = _part_nodes(table(spark, folder, "part")).union(_supplier_nodes(spark, folder))
     return nodes, edges
 
 
-def _thinned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    parts = table(spark, folder, "part")
-    _, edges = _whole(spark, folder)
-    active = _part_nodes(parts.filter(F.col("p_size") <= ACTIVE_SIZE)).union(_supplier_nodes(spark, folder))
-    nodes = _part_nodes(parts.filter(F.col("p_size") <= RECORD_SIZE)).union(_supplier_nodes(spark, folder))
-    return nodes, edges.join(active, F.col("src") == F.col("node"), "left_semi")
+def _trade(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    order, part = F.col("l_orderkey") * 4 + 1, F.col("l_partkey") * 4 + 2
+    onwards = F.array(
+        F.struct(order.alias("src"), part.alias("dst")), F.struct(part.alias("src"), (F.col("l_suppkey") * 4 + 3).alias("dst"))
+    )
+    placed = orders.select((F.col("o_custkey") * 4).alias("src"), (F.col("o_orderkey") * 4 + 1).alias("dst"))
+    nodes = (
+        table(spark, folder, "customer").select((F.col("c_custkey") * 4).alias("node"))
+        .union(orders.select(F.col("o_orderkey") * 4 + 1))
+        .union(table(spark, folder, "part").select(F.col("p_partkey") * 4 + 2))
+    )
+    return nodes, placed.union(lines.select(F.inline(onwards)))
 
 
 def adjacency_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,14 +152,14 @@ def ppr_iter1(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ppr_total_mass(spark: SparkSession, folder: str) -> DataFrame:
-    nodes, edges = _thinned(spark, folder)
-    found = total_mass(nodes, edges, ppr(nodes, edges, SOURCES, 2), SOURCES)
+    nodes, edges = _trade(spark, folder)
+    found = total_mass(nodes, edges, ppr(nodes, edges, TRADERS, 2), TRADERS)
     return found.select("source", F.round("total", 10).alias("total"), F.round("missing", 10).alias("missing"))
 
 
 def ppr_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    nodes, edges = _thinned(spark, folder)
-    return iteration_metrics(nodes, edges, ppr(nodes, edges, SOURCES, 1))
+    nodes, edges = _trade(spark, folder)
+    return iteration_metrics(nodes, edges, ppr(nodes, edges, TRADERS, 1))
 
 
 def ppr_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,8 +179,8 @@ QUERIES = {
         SELECT node AS src, unnest(neighbours) AS dst FROM records UNION ALL SELECT node, NULL FROM records""",
     ),
     "graph_stats": (
-        lambda spark, folder: graph_stats(*_thinned(spark, folder)),
-        f"""WITH {THINNED_SQL},
+        lambda spark, folder: graph_stats(*_trade(spark, folder)),
+        f"""WITH {TRADE_SQL},
         degrees AS (SELECT node, count(src) AS degree FROM nodes LEFT JOIN edges ON src = node GROUP BY node)
         SELECT count(*) AS nodes, sum(degree)::BIGINT AS edges, count(*) FILTER (WHERE degree > 0) AS active FROM degrees""",
     ),
@@ -194,16 +200,16 @@ QUERIES = {
     "ppr_iter1": (ppr_iter1, _ppr_sql(WHOLE_SQL, 1) + "SELECT source, node, round(p, 10) AS p FROM r1"),
     "ppr_total_mass": (
         ppr_total_mass,
-        _ppr_sql(THINNED_SQL, 3) + "SELECT source, round(total, 10) AS total, round(missing, 10) AS missing FROM t3",
+        _ppr_sql(TRADE_SQL, 3, TRADERS) + "SELECT source, round(total, 10) AS total, round(missing, 10) AS missing FROM t3",
     ),
     "ppr_missing_nodes": (
-        lambda spark, folder: missing_nodes(*_thinned(spark, folder)),
-        f"""WITH {THINNED_SQL}
+        lambda spark, folder: missing_nodes(*_trade(spark, folder)),
+        f"""WITH {TRADE_SQL}
         SELECT dst AS node, count(*) AS messages FROM edges WHERE dst NOT IN (SELECT node FROM nodes) GROUP BY 1""",
     ),
     "ppr_metrics": (
         ppr_metrics,
-        _ppr_sql(THINNED_SQL, 1)
+        _ppr_sql(TRADE_SQL, 1, TRADERS)
         + """SELECT 'nodes' AS metric, (SELECT count(*) FROM nodes) AS value
         UNION ALL SELECT 'edges', (SELECT count(*) FROM edges WHERE src IN (SELECT node FROM nodes))
         UNION ALL SELECT 'mass_messages', (SELECT count(*) FROM edges WHERE src IN (SELECT node FROM nodes))
@@ -214,8 +220,8 @@ QUERIES = {
     ),
     "ppr_3iter": (_ranked, _ppr_sql(WHOLE_SQL, 3) + "SELECT source, node, round(p, 10) AS p FROM r3"),
     "ppr_dangling": (
-        lambda spark, folder: _rounded(ppr(*_thinned(spark, folder), SOURCES, 3)),
-        _ppr_sql(THINNED_SQL, 3) + "SELECT source, node, round(p, 10) AS p FROM r3",
+        lambda spark, folder: _rounded(ppr(*_trade(spark, folder), TRADERS, 3)),
+        _ppr_sql(TRADE_SQL, 3, TRADERS) + "SELECT source, node, round(p, 10) AS p FROM r3",
     ),
     "ppr_log_mass": (
         lambda spark, folder: log_mass(ppr(*_whole(spark, folder), SOURCES, 2)).withColumn("log_p", F.round("log_p", 8)),

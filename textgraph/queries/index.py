@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,8 @@ from .. import (
     tf_histogram,
     with_shard,
 )
-from ..plans.durable import durable
+from ..plans.durable import shared_folder
+from ..sinks.index import write_index
 from . import table
 
 # Docids a list block covers here, and blocks looked at together: few, so that every scale has several of both.
@@ -78,7 +81,7 @@ def _postings(spark: SparkSession, folder: str) -> DataFrame:
 def index_lists(spark: SparkSession, folder: str) -> DataFrame:
     entry = F.transform("postings", lambda e: F.concat_ws(":", e["docid"], e["tf"]))
     lists = postings_lists(_postings(spark, folder), SPAN)
-    return lists.select("term", "block", "df", F.array_join(entry, " ").alias("postings"))
+    return lists.select("term", "block", "df", "block_df", F.array_join(entry, " ").alias("postings"))
 
 
 def index_wide_map(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,7 +99,7 @@ def index_sharded_df(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _encoded(spark: SparkSession, folder: str) -> DataFrame:
-    return encode_gaps(durable(_postings(spark, folder), "postings"), SPAN, FAN)
+    return encode_gaps(_postings(spark, folder), SPAN, FAN)
 
 
 def gap_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,6 +107,13 @@ def gap_text(spark: SparkSession, folder: str) -> DataFrame:
     return gap_lists(_encoded(spark, folder)).withColumn("gaps", F.array_join(entry, " "))
 
 
+def index_written_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The index written once, term-sorted, and read by term: how often documents hold a few terms."""
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    write_index(_postings(spark, folder), path, SHARDS)
+    return tf_histogram(spark.read.parquet(path), TERMS)
+
+
 def _found(spark: SparkSession, folder: str, width: str) -> DataFrame:
     return fetch_lines(bool_search(_postings(spark, folder), SEARCHES), _documents(spark, folder), width)
 
@@ -117,8 +127,8 @@ QUERIES = {
     "index_lists": (
         index_lists,
         f"""WITH {POSTINGS_SQL}
-        SELECT term, docid // {SPAN} AS block, count(*) AS df, string_agg(docid || ':' || tf, ' ' ORDER BY docid) AS postings
-        FROM postings GROUP BY 1, 2""",
+        SELECT term, block, df, count(*) AS block_df, string_agg(docid || ':' || tf, ' ' ORDER BY docid) AS postings
+        FROM (SELECT *, docid // {SPAN} AS block, count(*) OVER (PARTITION BY term) AS df FROM postings) GROUP BY 1, 2, 3""",
     ),
     "index_wide_map": (
         index_wide_map,
@@ -138,6 +148,10 @@ QUERIES = {
         lambda spark, folder: tf_histogram(_postings(spark, folder), TERMS),
         f"WITH {POSTINGS_SQL} SELECT term, tf, count(*) AS docs FROM postings WHERE term IN ({TERMS_SQL}) GROUP BY 1, 2",
     ),
+    "index_written_lookup": (
+        index_written_lookup,
+        f"WITH {POSTINGS_SQL} SELECT term, tf, count(*) AS docs FROM postings WHERE term IN ({TERMS_SQL}) GROUP BY 1, 2",
+    ),
     "postings_gaps": (
         lambda spark, folder: _encoded(spark, folder).drop("prev"),
         f"""WITH {POSTINGS_SQL}
@@ -150,13 +164,13 @@ QUERIES = {
         gap_text,
         f"""WITH {POSTINGS_SQL},
         gaps AS (
-          SELECT term, docid // {SPAN} AS block, docid, tf,
+          SELECT term, docid // {SPAN} AS block, docid, tf, count(*) OVER (PARTITION BY term) AS df,
             lag(docid, 1, 0) OVER (PARTITION BY term ORDER BY docid) AS before
           FROM postings
         )
-        SELECT term, block, min(before) AS prev, count(*) AS df,
+        SELECT term, block, min(before) AS prev, df, count(*) AS block_df,
           string_agg((docid - before) || ':' || tf, ' ' ORDER BY docid) AS gaps
-        FROM gaps GROUP BY 1, 2""",
+        FROM gaps GROUP BY term, block, df""",
     ),
     "postings_decode": (
         lambda spark, folder: decode_gaps(_encoded(spark, folder)),

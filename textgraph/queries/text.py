@@ -32,18 +32,22 @@ split AS (
 lines AS (SELECT doc_id AS docid, unnest(range(len(parts))) AS ln, unnest(parts) AS line FROM split)"""
 
 LINE_TERMS_SQL = LINES_SQL + r""",
-tok AS (
+tok AS MATERIALIZED (
   SELECT docid, ln, unnest(list_distinct([t for t in string_split_regex(line, '\s+') if t <> ''])) AS term FROM lines
 )"""
 
 # Every pair of different words of a line, without any pruning.
 PAIRS_SQL = LINE_TERMS_SQL + """,
-df AS (SELECT term, count(*) AS df FROM tok GROUP BY term),
-pairs AS (
-  SELECT a.term AS x, b.term AS y, count(*) AS n
-  FROM tok a JOIN tok b ON a.docid = b.docid AND a.ln = b.ln AND a.term <> b.term
+df AS MATERIALIZED (SELECT term, count(*) AS df FROM tok GROUP BY term),
+ids AS MATERIALIZED (SELECT term, row_number() OVER () AS id FROM df),
+numbered AS MATERIALIZED (SELECT docid, ln, id FROM tok JOIN ids USING (term)),
+once AS MATERIALIZED (
+  SELECT a.id AS a, b.id AS b, count(*) AS n
+  FROM numbered a JOIN numbered b ON a.docid = b.docid AND a.ln = b.ln AND a.id < b.id
   GROUP BY 1, 2 HAVING count(*) >= 10
 ),
+named AS (SELECT p.term AS x, q.term AS y, n FROM once JOIN ids p ON p.id = once.a JOIN ids q ON q.id = once.b),
+pairs AS MATERIALIZED (SELECT x, y, n FROM named UNION ALL SELECT y, x, n FROM named),
 scored AS (
   SELECT x, y, n, log10(n::DOUBLE * (SELECT count(*) FROM lines) / (dx.df::DOUBLE * dy.df::DOUBLE)) AS pmi
   FROM pairs JOIN df dx ON dx.term = x JOIN df dy ON dy.term = y

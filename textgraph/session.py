@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", memory: str = "20g") -> SparkSession:
+def local_session(cpus: int | str = "*", memory: str = "10g") -> SparkSession:
     partitions = str(cpus) if cpus != "*" else "8"
     return (
         SparkSession.builder.master(f"local[{cpus}]")

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.text import lines_in
 from ..plans.durable import durable
 from ..plans.sizing import broadcast_if_small
-from ..plans.spread import spread
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -28,14 +28,15 @@ def _offsets_within_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         if batch.num_rows == 0:
             continue
         sizes = batch.column("bytes").to_numpy()
-        keys = list(zip(batch.column("file").to_pylist(), batch.column("split").to_pylist()))
-        first = np.array([True] + [a != b for a, b in zip(keys[1:], keys)])
-        first[0] = keys[0] != split
+        changes = [pc.not_equal(batch.column(c).slice(1), batch.column(c).slice(0, batch.num_rows - 1)) for c in ("file", "split")]
+        own = (batch.column("file")[0].as_py(), batch.column("split")[0].as_py())
+        first = np.r_[own != split, pc.or_(*changes).to_numpy(zero_copy_only=False)]
         before = np.cumsum(sizes) - sizes
         run = np.maximum.accumulate(np.where(first, np.arange(len(sizes)), 0))
         base = np.where(np.logical_or.accumulate(first), -before[run], read)
         offsets = before + base
-        split, read = keys[-1], int(offsets[-1] + sizes[-1])
+        split = (batch.column("file")[batch.num_rows - 1].as_py(), batch.column("split")[batch.num_rows - 1].as_py())
+        read = int(offsets[-1] + sizes[-1])
         yield pa.RecordBatch.from_arrays(
             [batch.column("file"), batch.column("split"), pa.array(offsets, pa.int64()), batch.column("line")],
             names=["file", "split", "within", "line"],
@@ -43,10 +44,13 @@ def _offsets_within_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def read_lines_with_offset(spark: SparkSession, path: str) -> DataFrame:
-    """``<file, docid, line>``: docid is the byte offset of the line in its (UTF-8) file.
+    """``<file, offset, docid, line>``: ``offset`` is the byte offset of the line in its (UTF-8) file.
 
-    The bytes of every split are summed in one pass over the lengths alone; running sums over the splits of a
-    file, a few numbers per file, say where each split's first line starts. The text itself is not shuffled.
+    ``docid`` is the offset in all files laid end to end by path, so it is unique among them, and in a single file
+    it is the offset. The bytes of every split are summed in one pass over the lengths alone; running sums over
+    splits and files, one number for each, say where a split's first line starts. The text itself is not shuffled.
+    Should the files be split more finely when the text is read (Spark goes by the number of cores at that time),
+    it is an error, never a lost line.
     """
     raw = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -56,21 +60,31 @@ def read_lines_with_offset(spark: SparkSession, path: str) -> DataFrame:
     )
     earlier_splits = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
     sizes = raw.groupBy("file", "split").agg(F.sum("bytes").alias("bytes"))
+    sizes = durable(sizes, "sizes")
+    earlier_files = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    files = sizes.groupBy("file").agg(F.sum("bytes").alias("bytes"))
+    files = files.select("file", F.coalesce(F.sum("bytes").over(earlier_files), F.lit(0)).alias("base"))
     starts = sizes.select("file", "split", F.coalesce(F.sum("bytes").over(earlier_splits), F.lit(0)).alias("start"))
     placed = raw.mapInArrow(_offsets_within_split, "file string, split bigint, within bigint, line string")
-    return placed.join(broadcast_if_small(durable(starts, "splits")), ["file", "split"]).select(
+    known = broadcast_if_small(durable(starts.join(files, "file"), "splits"))
+    moved = F.raise_error(F.concat(F.lit("split differently than when measured: "), "file")).cast("bigint")
+    # Not deterministic for the optimizer, so no filter on ids slips below it and turns the outer join into an inner one.
+    unknown = F.col("start").isNull() & (F.monotonically_increasing_id() >= 0)
+    offset = F.when(unknown, moved).otherwise(F.col("start") + F.col("within"))
+    return placed.join(known, ["file", "split"], "left").select(
         "file",
-        (F.col("start") + F.col("within")).alias("docid"),
+        offset.alias("offset"),
+        "base",
         F.regexp_replace("line", r"\r\z", "").alias("line"),
-    )
+    ).select("file", "offset", (F.col("base") + F.col("offset")).alias("docid"), "line")
 
 
 def lines_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``<docid, ln, line>``: the lines of each row's text, numbered from 0; ``id_col`` must be unique."""
+    """``<docid, ln, line>``: the lines of each row's text, numbered from 0."""
     lines = documents_of(df, id_col, text_col).select("docid", F.posexplode(lines_in(F.col("line"))).alias("ln", "line"))
     return lines.withColumn("ln", F.col("ln").cast("bigint"))
 
 
 def documents_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``<docid, line>``: each row's whole text as one record."""
-    return spread(df.select(F.col(id_col).cast("bigint").alias("docid"), F.col(text_col).alias("line")))
+    return df.select(F.col(id_col).cast("bigint").alias("docid"), F.col(text_col).alias("line"))
