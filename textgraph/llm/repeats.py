@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ LENGTH, K = 200, 64
 # Bytes of text looked at together in a task.
 TOGETHER = 2 << 20
 # Runs with one anchor that are sorted together; of a more frequent anchor, windows are dealt out by their hash.
-GROUP = 4_000
+GROUP = 1_000
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -137,10 +138,13 @@ def _runs_of_texts(length: int, k: int):
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs come sorted by anchor and run hash. Equal ones are repeats; of an anchor with several kinds, one of each is an edge.
 
-    A row is judged by its neighbours alone, so nothing is held but the last row of a batch.
+    Repeats that are known already go through. A row is judged by its neighbours alone, so nothing is held but the last row of a batch.
     """
     before = None  # the last row so far, and whether it was equal to the one before it and began its anchor
     for batch in batches:
+        if (done := batch.filter(pc.equal(batch.column("kind"), REPEAT))).num_rows:
+            yield done
+        batch = batch.filter(pc.equal(batch.column("kind"), RUN))
         if not batch.num_rows:
             continue
         columns = [batch.column(c).to_numpy() for c in RECORD]
@@ -355,8 +359,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = doc_rows(docs, doc_id, text)
     keyed = rows.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), F.crc32(F.col("text").cast("binary")).alias("crc"), "text")
-    told = durable(keyed.select("doc", "crc", "text").mapInArrow(_runs_of_texts(length, k), SCHEMA), "runs")
-    ordered = told.filter(_is(RUN)).drop("kind").repartition("h").sortWithinPartitions("h", "full")
+    told = keyed.select("doc", "crc", "text").mapInArrow(_runs_of_texts(length, k), SCHEMA)
+    # Runs meet by anchor; known repeats, of which a frequent anchor has many, are spread.
+    meeting = F.when(_is(RUN), F.col("h")).otherwise(F.xxhash64("doc", "first"))
+    ordered = told.repartition(meeting).sortWithinPartitions("kind", "h", "full")
     compared = durable(ordered.mapInArrow(_compared, SCHEMA), "compared")
     edges = compared.filter(_is(EDGE))
     frequent = edges.groupBy("h").count().filter(F.col("count") > group)
@@ -366,7 +372,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     wanted = salted.groupBy("doc", "crc").agg(F.collect_list("e").alias("edges"))
     fetched = keyed.select("doc", "crc", "text").join(wanted, ["doc", "crc"]).mapInArrow(_contexts(length), CONTEXT)
     sorted_ = fetched.repartition("h", "salt").sortWithinPartitions("h", "salt").mapInArrow(_sorted_edges(length), SCHEMA)
-    repeats = told.filter(_is(REPEAT)).unionByName(compared.filter(_is(REPEAT))).unionByName(sorted_)
+    repeats = compared.filter(_is(REPEAT)).unionByName(sorted_)
     span = F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     spans = repeats.select("doc", "crc", span.alias("s")).groupBy("doc", "crc").agg(F.collect_set("s").alias("spans"))
     placed = keyed.join(spans, ["doc", "crc"], "left").select("doc_id", "text", "spans")
