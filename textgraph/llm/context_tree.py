@@ -5,10 +5,11 @@ last d bytes and the byte's bits so far, with a Krichevsky-Trofimov estimate of
 estimates of all depths, and since block probabilities need counts alone, the tree is learnt by counting:
 
 1. Documents are dealt to blocks; a block tells its distinct (context, byte) strings and words, with training counts.
+   Strings travel packed: one row holds a block's strings of one part, dealt by hash, as a sorted array.
 2. Counts are summed over blocks. Subtrees below two context bytes are weighted inside tasks, each in one task; what
    is above is two levels of bounded size, summed over all subtrees.
-3. Every distinct string gets its code length from the tree, and goes back to the blocks that hold it, where the
-   documents' sums are made. So neither the tree nor the vocabulary is ever in one place.
+3. Every distinct string gets its code length from the tree, and each part answers the blocks that hold its strings;
+   there the documents' sums are made. So neither the tree nor the vocabulary is ever in one place.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -29,7 +31,9 @@ FOLDS, HELD_OUT = 7, 2
 # Context bytes of the deepest nodes.
 DEPTH = 6
 # Text bytes of a block, and of the slices in which a block is read.
-BLOCK_BYTES, SLICE_BYTES = 16 << 20, 2 << 20
+BLOCK_BYTES, SLICE_BYTES = 32 << 20, 2 << 20
+# Parts that the strings are dealt to, at most; a part is merged and looked up as a whole.
+PARTS = 4096
 # Strings weighted together; a subtree is never cut.
 TOGETHER = 1 << 19
 # UTF-8 has no such byte: it ends a text and stands before it.
@@ -165,35 +169,95 @@ def _array(column: pa.ChunkedArray) -> pa.Array:
     return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
 
 
-def _vocabulary(depth: int):
+def _packed(values: np.ndarray) -> bytes:
+    """An array as bytes, all first bytes before all second ones: what is alike in sorted numbers then stands together."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _unpacked(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")  # of sorted stretches, so hardly more than a merge
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(count, first) if len(key) else count
+
+
+def _by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of sorted keys by part, in order."""
+    part = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    for p in range(parts):
+        if cuts[p] < cuts[p + 1]:
+            yield p, order[cuts[p] : cuts[p + 1]]
+
+
+VOCABULARY = "block bigint, part int, grams binary, counts binary, word string, n bigint"
+
+
+def _vocabulary(depth: int, parts: int):
     def tell(table: pa.Table) -> pa.Table:
-        grams, words = [], []
+        keys, counts, words = [], [], []
         for part in _slices(table):
             for train in (True, False):
                 rows = part.filter(pc.equal(part["train"], train))
                 if not len(rows):
                     continue
                 text = _array(rows["text"]).cast(pa.large_string())
-                key, _ = strings([t.translate(_FOLD) for t in text_bytes(text)], depth)
-                for found, kind, into in ((pa.array(key.view(np.int64)), pa.int64(), grams), (_words(text)[0], pa.large_string(), words)):
-                    counts = pc.value_counts(found)
-                    n = counts.field("counts") if train else pa.array(np.zeros(len(counts), np.int64))
-                    into.append(pa.table({"key": counts.field("values").cast(kind), "n": n.cast(pa.int64())}))
-        grams, words = (pa.concat_tables(t).group_by("key").aggregate([("n", "sum")]) for t in (grams, words))
-        block = table["block"][0].as_py()
-        size = len(grams) + len(words)
+                found, n = np.unique(strings([t.translate(_FOLD) for t in text_bytes(text)], depth)[0].view(np.int64), return_counts=True)
+                keys.append(found)
+                counts.append(n if train else np.zeros(len(n), np.int64))
+                told = pc.value_counts(_words(text)[0])
+                n = told.field("counts") if train else pa.array(np.zeros(len(told), np.int64))
+                words.append(pa.table({"key": told.field("values"), "n": n.cast(pa.int64())}))
+        key, count = _summed(keys, counts)
+        packed = [(p, _packed(key[at]), _packed(count[at])) for p, at in _by_part(key, parts)]
+        words = pa.concat_tables(words).group_by("key").aggregate([("n", "sum")])
+        size = len(packed) + len(words)
+        empty = pa.nulls(len(words), pa.binary())
         return pa.table(
             {
-                "block": pa.array(np.full(size, block, np.int64)),
-                "gram": pa.concat_arrays([_array(grams["key"]), pa.nulls(len(words), pa.int64())]),
-                "word": pa.concat_arrays([pa.nulls(len(grams), pa.string()), _array(words["key"]).cast(pa.string())]),
-                "n": pa.concat_arrays([_array(grams["n_sum"]), _array(words["n_sum"])]),
+                "block": pa.array(np.full(size, table["block"][0].as_py())),
+                "part": pa.concat_arrays([pa.array([p for p, _, _ in packed], pa.int32()), pa.nulls(len(words), pa.int32())]),
+                "grams": pa.concat_arrays([pa.array([k for _, k, _ in packed], pa.binary()), empty]),
+                "counts": pa.concat_arrays([pa.array([c for _, _, c in packed], pa.binary()), empty]),
+                "word": pa.concat_arrays([pa.nulls(len(packed), pa.string()), _array(words["key"]).cast(pa.string())]),
+                "n": pa.concat_arrays([pa.nulls(len(packed), pa.int64()), _array(words["n_sum"])]),
             }
         )
 
     return tell
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by part: a part's strings of all blocks, summed up every now and then, so each is held once."""
+
+    def out(keys: list, counts: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in _summed(keys, counts)], names=["gram", "n"])
+
+    part, keys, counts, held, kept = None, [], [], 0, 0
+    for batch in batches:
+        for p, k, c in zip(*(batch.column(n).to_pylist() for n in ("part", "grams", "counts"))):
+            if p != part and keys:
+                yield out(keys, counts)
+                keys, counts, held, kept = [], [], 0, 0
+            part = p
+            keys.append(_unpacked(k, np.int64))
+            counts.append(_unpacked(c, np.int64))
+            held += len(keys[-1])
+            if held > 2 * kept + TOGETHER:
+                key, count = _summed(keys, counts)
+                keys, counts, held, kept = [key], [count], len(key), len(key)
+    if keys:
+        yield out(keys, counts)
+
+
 def _whole_subtrees(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, Subtrees]]:
     """Sorted strings, cut only between strings whose last two context bytes differ."""
     shift = np.int64(8 * (depth - 1))
@@ -219,28 +283,59 @@ def _sums(depth: int):
     return add
 
 
-def _lengths(depth: int, upper):
+def _lengths(depth: int, parts: int, upper):
+    """Each string's code length, packed by part."""
+
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, trees in _whole_subtrees(batches, depth):
-            value = trees.log10_of_strings(upper.value)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(value, pa.float64())], names=["gram", "value"])
+            value = trees.log10_of_strings(upper.value).astype(np.float32)
+            rows = [(p, _packed(keys[at]), _packed(value[at])) for p, at in _by_part(keys, parts)]
+            kinds = (pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "grams", "lengths"])
 
     return tell
 
 
+ANSWERS = "block bigint, grams binary, lengths binary"
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by part, its code lengths (no block) before the blocks that ask for some of them."""
+    part, keys, values, table = None, [], [], None
+    for batch in batches:
+        rows = []
+        for p, block, k, v in zip(*(batch.column(n).to_pylist() for n in ("part", "block", "grams", "lengths"))):
+            if p != part:
+                part, keys, values, table = p, [], [], None
+            if block is None:
+                keys.append(_unpacked(k, np.int64))
+                values.append(_unpacked(v, np.float32))
+                continue
+            if table is None:
+                key, value = np.concatenate(keys), np.concatenate(values)
+                order = np.argsort(key)
+                table = key[order], value[order]
+            rows.append((block, k, _packed(table[1][np.searchsorted(table[0], _unpacked(k, np.int64))])))
+        if rows:
+            kinds = (pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["block", "grams", "lengths"])
+
+
 def _scores(depth: int, known: int, distinct: int):
     def score(_, table: pa.Table, values: pa.Table) -> pa.Table:
-        is_gram = pc.is_valid(values["gram"])
-        grams, words = values.filter(is_gram), values.filter(pc.invert(is_gram))
-        gram_set, gram_value = _array(grams["gram"]), grams["value"].to_numpy()
+        is_word = pc.is_valid(values["word"])
+        words, packed = values.filter(is_word), values.filter(pc.invert(is_word))
+        grams = pd.Index(np.concatenate([_unpacked(b, np.int64) for b in packed["grams"].to_pylist()]))
+        length_of = np.concatenate([_unpacked(b, np.float32) for b in packed["lengths"].to_pylist()]).astype(float)
         word_set, word_count = _array(words["word"]).cast(pa.large_string()), words["value"].to_numpy()
         out = []
         for part in _slices(table):
             text = _array(part["text"]).cast(pa.large_string())
             key, starts = strings([t.translate(_FOLD) for t in text_bytes(text)], depth)
-            at = pc.index_in(pa.array(key.view(np.int64)), value_set=gram_set).to_numpy()
+            lengths = length_of[grams.get_indexer(key.view(np.int64))]
             found, owner = _words(text)
-            count = word_count[pc.index_in(found, value_set=word_set).to_numpy()]
+            found = found.dictionary_encode()
+            count = word_count[pc.index_in(found.dictionary, value_set=word_set).to_numpy()][found.indices.to_numpy()]
             logs = np.log10((count + 1) / (known + 1.0 * (distinct + 1)))
             sums = [np.bincount(owner, v, len(part)) for v in (None, count > 0, logs)]
             out.append(
@@ -250,7 +345,7 @@ def _scores(depth: int, known: int, distinct: int):
                         "n_tokens": pa.array(sums[0].astype(np.int64)),
                         "n_known": pa.array(sums[1].astype(np.int64)),
                         "base_score": pa.array(sums[2]),
-                        "score": pa.array(np.add.reduceat(gram_value[at], starts)),
+                        "score": pa.array(np.add.reduceat(lengths, starts)),
                     }
                 )
             )
@@ -276,10 +371,11 @@ def context_tree_scores(
     blocks = max(1, -(-total // block_bytes))
     train = fold("doc_id", FOLDS) != HELD_OUT
     dealt = rows.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).alias("block"), "doc_id", train.alias("train"), "text")
-    schema = "block bigint, gram bigint, word string, n bigint"
-    vocabulary = durable(dealt.groupBy("block").applyInArrow(_vocabulary(depth), schema), "vocabulary")
-    by_gram, by_word = vocabulary.filter("gram IS NOT NULL"), vocabulary.filter("word IS NOT NULL")
-    grams = durable(by_gram.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    parts = min(PARTS, max(8, 2 * blocks))
+    vocabulary = durable(dealt.groupBy("block").applyInArrow(_vocabulary(depth, parts), VOCABULARY), "vocabulary")
+    by_part, by_word = vocabulary.filter("part IS NOT NULL"), vocabulary.filter("word IS NOT NULL")
+    meeting = by_part.select("part", "grams", "counts").repartition("part").sortWithinPartitions("part")
+    grams = durable(meeting.mapInArrow(_merged, "gram bigint, n bigint"), "grams")
     words = durable(by_word.groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
     known, distinct = words.agg(F.coalesce(F.sum("value"), F.lit(0.0)), F.count_if(F.col("value") > 0)).first()
 
@@ -290,11 +386,14 @@ def context_tree_scores(
     sums = in_order(grams.filter("n > 0")).mapInArrow(_sums(depth), "node bigint, zeros double, ones double, children double")
     above = sums.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "children")]).toArrow()  # 65,280 rows at most
     upper = docs.sparkSession.sparkContext.broadcast(upper_levels(*(above[c].to_numpy() for c in ("node", "zeros", "ones", "children"))))
-    lengths = durable(in_order(grams).mapInArrow(_lengths(depth, upper), "gram bigint, value double"), "lengths")
-    values = (
-        by_gram.join(lengths, "gram").select("block", "gram", F.lit(None).cast("string").alias("word"), "value")
-        .unionByName(by_word.join(words, "word").select("block", F.lit(None).cast("bigint").alias("gram"), "word", "value"))
-    )
+    lengths = in_order(grams).mapInArrow(_lengths(depth, parts, upper), "part int, grams binary, lengths binary")
+    nothing = F.lit(None)
+    asked = by_part.select("part", "block", "grams", nothing.cast("binary").alias("lengths"))
+    both = lengths.select("part", nothing.cast("bigint").alias("block"), "grams", "lengths").unionByName(asked)
+    answers = both.repartition("part").sortWithinPartitions("part", F.asc_nulls_first("block")).mapInArrow(_answered, ANSWERS)
+    values = answers.select("*", nothing.cast("string").alias("word"), nothing.cast("double").alias("value")).unionByName(
+        by_word.join(words, "word").select("block", nothing.cast("binary").alias("grams"), nothing.cast("binary").alias("lengths"), "word", "value")
+    )
     result = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
     scored = dealt.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(_scores(depth, int(known), distinct), result)
     return scored.select(
