@@ -26,7 +26,7 @@ from .graph import checked_nodes, in_degrees, missing_nodes, out_degrees
 # The random jump factor and the number of nodes reported.
 ALPHA = 0.15
 TOP_K = 100
-# Out-edges of one node handled by one task; the edges of a node with more are dealt out to several.
+# Ranks moved along the edges of one node by one task; a node with more edges, times sources, is dealt out to several.
 SALT_EDGES = 1_000_000
 # Iterations between two lineage cuts.
 CUT_EVERY = 5
@@ -92,8 +92,7 @@ def transitions(nodes: DataFrame, edges: DataFrame, salt_edges: int = SALT_EDGES
 def _at_moves(ranks: DataFrame, graph: Transitions) -> DataFrame:
     """Each rank with its node's moves; that of a hot node goes to every salt.
 
-    ``merge`` joins in the order in which the moves are held. Where many sources have reached a hot node, its ranks
-    are many too; adaptive execution splits such a partition on the ranks' side.
+    ``merge`` joins in the order in which the moves are held.
     """
     if graph.hot is None:
         return ranks.join(graph.moves.hint("merge"), "node")
@@ -126,6 +125,12 @@ def _present(nodes: DataFrame, sources: Sources) -> DataFrame:
     return durable(init_ranks(nodes, sources), "sources").select("source")
 
 
+def _prepared(nodes: DataFrame, edges: DataFrame, present: DataFrame, salt_edges: int) -> Transitions:
+    """A graph whose hot nodes are dealt out the finer, the more sources may reach them: a task moves at most about
+    ``salt_edges`` ranks of one node, over all sources."""
+    return transitions(nodes, edges, max(1, salt_edges // max(1, present.count())))
+
+
 def ppr_step(
     nodes: DataFrame,
     edges: DataFrame,
@@ -135,8 +140,8 @@ def ppr_step(
     salt_edges: int = SALT_EDGES,
 ) -> DataFrame:
     """One iteration from any ``ranks``; mass a source's ranks lack up to 1 goes to the source."""
-    graph = transitions(nodes, edges, salt_edges)
-    return _advance(ranks, graph, _jumps(_present(nodes, sources), ranks, alpha), alpha)
+    present = _present(nodes, sources)
+    return _advance(ranks, _prepared(nodes, edges, present, salt_edges), _jumps(present, ranks, alpha), alpha)
 
 
 def _held(graph: Transitions) -> Transitions:
@@ -157,8 +162,8 @@ def ppr(
     cut_every: int = CUT_EVERY,
 ) -> DataFrame:
     """``<source, node, p>`` after ``iterations`` steps from the sources' own nodes."""
-    graph = transitions(nodes, edges, salt_edges)
     present = _present(nodes, sources)
+    graph = _prepared(nodes, edges, present, salt_edges)
     jumps = _jumps(present, None, alpha)
     ranks = init_ranks(nodes, present)
     held = _held(graph)
@@ -190,8 +195,8 @@ def run_ppr(
     Start 0 writes the initial snapshot. A later start goes on from what an earlier run left there.
     """
     spark = nodes.sparkSession
-    graph = transitions(nodes, edges, salt_edges)
     present = _present(nodes, sources)
+    graph = _prepared(nodes, edges, present, salt_edges)
     if start == 0:
         init_ranks(nodes, present).write.mode("overwrite").parquet(_snapshot(base, 0))
     ranks = spark.read.parquet(_snapshot(base, start))
