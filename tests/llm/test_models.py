@@ -18,7 +18,7 @@ from textgraph.llm.context_tree import context_tree_scores, log_gamma
 from textgraph.llm.mixing import flight, mix, source_targets
 from textgraph.llm.repeats import remove_repeats
 from textgraph.llm.simhash import fingerprint, near_duplicates, near_links
-from textgraph.llm.toxicity import marginals, toxicity
+from textgraph.llm.toxicity import marginals, pair_marginals, toxicity
 
 
 def roots(nodes, linked) -> dict:
@@ -256,9 +256,16 @@ def test_marginals_against_enumeration():
         weights[bits] = math.exp(sum(emission[0, k] * s for k, s in enumerate(states)) + sum(transitions[a * 2 + b] for a, b in zip(states, states[1:])))
     whole = sum(weights.values())
     expected = [sum(w for bits, w in weights.items() if bits >> k & 1) / whole for k in range(5)]
-    padded = np.c_[emission, [[np.nan] * 3]]
-    found, _ = marginals(padded, ~np.isnan(padded), tuple(transitions))
-    assert found[0] == pytest.approx([*expected, 0, 0, 0])
+    padded = np.c_[emission, [[np.nan] * 3]].T
+    found = marginals(padded, ~np.isnan(padded), tuple(transitions))
+    assert found[:, 0] == pytest.approx([*expected, 0, 0, 0])
+    again, pairs = pair_marginals(padded, ~np.isnan(padded), tuple(transitions))
+    assert again == pytest.approx(found)
+    both = {k: 0.0 for k in range(4)}
+    for bits, w in weights.items():
+        for k in range(4):
+            both[2 * (bits >> k & 1) + (bits >> k + 1 & 1)] += w / whole
+    assert pairs == pytest.approx([both[k] for k in range(4)])
 
 
 def test_toxicity_on_held_out_rows(spark, docs):

@@ -1,9 +1,10 @@
 """Toxicity by a linear-chain conditional random field over words.
 
-Labels are given by document. Which words of a toxic document are toxic is settled by counts over all labelled
-training documents: a word is, when it or its beginning is far likelier in toxic documents. On a bounded sample of
-such labelled chains a two-state field (clean, toxic) is trained by its exact gradient. Forward-backward marginals of
-the words, over every whole text, give a document's offending words and, calibrated on training documents, its score.
+Labels are given by document. What is learnt is learnt from a bounded sample of labelled training documents, so that
+no texts but the sample's are moved. Which words of a toxic document are toxic is settled by counts: a word is, when
+it or its beginning is far likelier in toxic documents. On chains labelled so a two-state field (clean, toxic) is
+trained by its exact gradient. Forward-backward marginals of the words, over every whole text, give a document's
+offending words and, calibrated on the sample, its score.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ BUCKETS = 1 << 20
 PREFIXES = (4, 6)
 # A word is toxic from this log-odds on, seen in so many toxic training documents.
 LEAST_ODDS, LEAST_DOCS = 2.5, 5
-# The bounds of the samples: chains of either kind to train the field on, documents to calibrate the score on.
-SAMPLE_CHAINS, SAMPLE_DOCS = 4_000, 20_000
+# The bounds of the sample: documents of either label, and chains with and without toxic words among theirs.
+SAMPLE_DOCS, SAMPLE_CHAINS = 10_000, 2_000
 # Documents of every fifth id hash are never learnt from.
 FOLDS = 5
 # Words that a task remembers, and words whose marginals are computed together.
@@ -86,36 +87,37 @@ class Field:
         return self.bias + self.odds_weight * float(self.odds[at].max()) + float(self.weights[at].sum())
 
 
-def marginals(emission: np.ndarray, real: np.ndarray, transitions: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward over rows (chains) of word emissions.
+def _ratios(emission: np.ndarray, real: np.ndarray, transitions: tuple) -> tuple[np.ndarray, ...]:
+    """The words' own ratios of toxic against clean, and the forward and backward ones; rows are steps, columns chains."""
+    j00, j01, j10, j11 = np.exp(np.array(transitions))
+    local = np.exp(np.clip(np.where(real, emission, 0.0), -30, 30))
+    forward, backward = np.empty_like(local), np.ones_like(local)
+    forward[0] = local[0]
+    for t in range(1, len(local)):
+        forward[t] = local[t] * (j01 + j11 * forward[t - 1]) / (j00 + j10 * forward[t - 1])
+    for t in range(len(local) - 2, -1, -1):  # padding, at a chain's end, has nothing to say
+        onward = local[t + 1] * backward[t + 1]
+        backward[t] = np.where(real[t + 1], (j10 + j11 * onward) / (j00 + j01 * onward), 1.0)
+    return local, forward, backward
 
-    Returns each word's probability of the toxic state and of each pair of states with the word before. ``real``
-    marks the words; padding at a chain's end changes nothing.
-    """
-    chains, length = emission.shape
-    jump = np.exp(np.array(transitions)).reshape(2, 2)
-    local = np.stack([np.ones_like(emission), np.exp(np.clip(np.where(real, emission, 0.0), -30, 30))], axis=2)
-    forward = np.empty((chains, length, 2))
-    backward = np.ones((chains, length, 2))
-    forward[:, 0] = local[:, 0] / local[:, 0].sum(axis=1, keepdims=True)
-    for t in range(1, length):
-        step = (forward[:, t - 1] @ jump) * local[:, t]
-        step = np.where(real[:, t, None], step, forward[:, t - 1])
-        forward[:, t] = step / step.sum(axis=1, keepdims=True)
-    for t in range(length - 2, -1, -1):
-        step = (local[:, t + 1] * backward[:, t + 1]) @ jump.T
-        step = np.where(real[:, t + 1, None], step, backward[:, t + 1])
-        backward[:, t] = step / step.sum(axis=1, keepdims=True)
-    both = forward * backward
-    toxic = both[:, :, 1] / both.sum(axis=2)
-    pairs = forward[:, :-1, :, None] * jump * (local[:, 1:] * backward[:, 1:])[:, :, None, :]
-    pairs /= pairs.sum(axis=(2, 3), keepdims=True)
-    return np.where(real, toxic, 0.0), pairs
-
-
-def _toxic_marginals(emission: np.ndarray, field: Field) -> np.ndarray:
-    """The words' marginals of texts laid end to end in chains; a text starts a chain of its own."""
-    return marginals(emission, ~np.isnan(emission), field.transitions)[0]
+
+def marginals(emission: np.ndarray, real: np.ndarray, transitions: tuple) -> np.ndarray:
+    """Each word's probability of the toxic state; rows are steps, columns chains, ``real`` marks the words."""
+    _, forward, backward = _ratios(emission, real, transitions)
+    odds = forward * backward
+    return np.where(real, odds / (1 + odds), 0.0)
+
+
+def pair_marginals(emission: np.ndarray, real: np.ndarray, transitions: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """The words' marginals, and the expected number of each pair of neighbouring states (00, 01, 10, 11)."""
+    local, forward, backward = _ratios(emission, real, transitions)
+    odds = forward * backward
+    onward, before = local[1:] * backward[1:], forward[:-1]
+    j00, j01, j10, j11 = np.exp(np.array(transitions))
+    shares = [np.full_like(onward, j00), j01 * onward, j10 * before, j11 * before * onward]
+    whole = shares[0] + shares[1] + shares[2] + shares[3]
+    pairs = np.array([(share / whole)[real[1:]].sum() for share in shares])
+    return np.where(real, odds / (1 + odds), 0.0), pairs
 
 
 def _chains(values: np.ndarray) -> np.ndarray:
@@ -126,46 +128,53 @@ def _chains(values: np.ndarray) -> np.ndarray:
     return padded.reshape(rows, CHAIN, *values.shape[1:])
 
 
-def train_field(odds: np.ndarray, features: np.ndarray, real: np.ndarray, toxic: np.ndarray, rounds: int = 80) -> Field:
-    """Maximum-likelihood training: observed minus expected counts, by Adagrad with a small ridge."""
+def train_field(odds: np.ndarray, features: np.ndarray, real: np.ndarray, toxic: np.ndarray, rounds: int = 60) -> Field:
+    """Maximum-likelihood training: observed minus expected counts, by Adagrad with a small ridge.
+
+    ``features`` (steps, chains, kinds), ``real`` and ``toxic`` (steps, chains) are the labelled chains.
+    """
     field = Field(odds, np.zeros(BUCKETS))
-    if not len(features):
+    if not features.size:
         return field
     strength = odds[features].max(axis=2)
+    seen_buckets, local = np.unique(features, return_inverse=True)
+    local = local.reshape(features.shape)
+    weights, steps_w = np.zeros(len(seen_buckets)), np.full(len(seen_buckets), 1e-6)
     theta, steps = np.zeros(6), np.full(6, 1e-6)  # weight of the odds, bias, four transitions
-    steps_w = np.full(BUCKETS, 1e-6)
-    used = features[real]
-    before, after = toxic[:, :-1].astype(int), toxic[:, 1:].astype(int)
-    linked = real[:, 1:]
-    seen = np.bincount((before * 2 + after)[linked], minlength=4)
+    used = local[real]
+    seen = np.bincount((toxic[:-1].astype(int) * 2 + toxic[1:].astype(int))[real[1:]], minlength=4)
     for _ in range(rounds):
-        emission = theta[1] + theta[0] * strength + field.weights[features].sum(axis=2)
-        expected, pairs = marginals(emission, real, tuple(theta[2:]))
+        emission = theta[1] + theta[0] * strength + weights[local].sum(axis=2)
+        expected, pairs = pair_marginals(emission, real, tuple(theta[2:]))
         miss = np.where(real, toxic - expected, 0.0)
-        slope = np.r_[(miss * strength).sum(), miss.sum(), seen - pairs[linked].sum(axis=0).ravel()] - 0.1 * theta
+        slope = np.r_[(miss * strength).sum(), miss.sum(), seen - pairs] - 0.1 * theta
         steps += slope**2
         theta = theta + slope / np.sqrt(steps) * 0.3
-        slope_w = np.bincount(used.ravel(), np.repeat(miss[real], used.shape[1]), BUCKETS) - 0.1 * field.weights
+        slope_w = np.bincount(used.ravel(), np.repeat(miss[real], used.shape[1]), len(weights)) - 0.1 * weights
         steps_w += slope_w**2
-        field.weights = field.weights + slope_w / np.sqrt(steps_w) * 0.05
+        weights = weights + slope_w / np.sqrt(steps_w) * 0.05
+    field.weights[seen_buckets] = weights
     field.odds_weight, field.bias, field.transitions = float(theta[0]), float(theta[1]), tuple(map(float, theta[2:]))
     return field
 
 
-def calibrate(most: np.ndarray, expected: np.ndarray, toxic: np.ndarray, rounds: int = 60) -> tuple[float, float, float]:
-    """A logistic model of a document's label by its highest marginal and its expected number of offending words."""
+def calibrate(most: np.ndarray, expected: np.ndarray, toxic: np.ndarray, share: np.ndarray, rounds: int = 60) -> tuple[float, float, float]:
+    """A logistic model of a document's label by its highest marginal and its expected number of offending words.
+
+    ``share`` is how many labelled documents a sampled one stands for.
+    """
     x = np.stack([np.ones_like(most), most, np.log1p(expected)], axis=1)
     theta, ridge = np.zeros(3), np.diag([1e-3, 1e-2, 1e-2])
     for _ in range(rounds):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        slope = x.T @ (toxic - p) - ridge @ theta
-        bend = (x * (p * (1 - p))[:, None]).T @ x + ridge
+        slope = x.T @ (share * (toxic - p)) - ridge @ theta
+        bend = (x * (share * p * (1 - p))[:, None]).T @ x + ridge
         theta = theta + np.linalg.solve(bend, slope) * min(1.0, 5 / (1e-9 + np.abs(np.linalg.solve(bend, slope)).max()))
     return tuple(map(float, theta))
 
 
 def _class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Documents of each class that hold a feature, by bucket, over all labelled training documents."""
+    """Sampled documents of each class that hold a feature, by bucket; documents of each class."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, BUCKETS), np.int64)
@@ -206,23 +215,25 @@ def _sampled_chains(labelled: DataFrame, odds: np.ndarray) -> tuple[np.ndarray,
             for doc, value, toxic in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))):
                 words = value.encode().split()
                 features = table.values(words)
-                marked = toxic * (strength[features].max(axis=1) >= LEAST_ODDS) if len(words) else np.zeros(0, bool)
+                marked = toxic * (strength[features].max(axis=1, initial=0.0) >= LEAST_ODDS)
                 for i in range(0, len(words), CHAIN):
                     marks = marked[i : i + CHAIN]
-                    rows.append((bool(marks.any()), crc32(f"{doc}:{i}".encode()), features[i : i + CHAIN].ravel().tolist(), marks.astype(int).tolist()))
+                    packed = features[i : i + CHAIN].astype(np.int32).tobytes()
+                    rows.append((bool(marks.any()), crc32(f"{doc}:{i}".encode()), packed, marks.astype(np.int8).tobytes()))
             columns = zip(*rows) if rows else [[]] * 4
-            kinds = (pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            kinds = (pa.bool_(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["any", "key", "features", "marks"])
 
-    chains = durable(labelled.mapInArrow(cut, "any boolean, key bigint, features array<bigint>, marks array<bigint>"), "chains")
-    order = ["key", "features"]
-    taken = [r for kind in (True, False) for r in chains.filter(F.col("any") == kind).orderBy(*order).limit(SAMPLE_CHAINS).collect()]
-    features = np.zeros((len(taken), CHAIN, width), np.int64)
-    real, marks = np.zeros((len(taken), CHAIN), bool), np.zeros((len(taken), CHAIN), bool)
+    chains = labelled.mapInArrow(cut, "any boolean, key bigint, features binary, marks binary")
+    taken = []
+    for kind in (True, False):
+        taken += chains.filter(F.col("any") == kind).orderBy("key", "features").limit(SAMPLE_CHAINS).toArrow().to_pylist()
+    features = np.zeros((CHAIN, len(taken), width), np.int32)
+    real, marks = np.zeros((CHAIN, len(taken)), bool), np.zeros((CHAIN, len(taken)), bool)
     for i, row in enumerate(taken):
         n = len(row["marks"])
-        features[i, :n] = np.array(row["features"]).reshape(n, width)
-        real[i, :n], marks[i, :n] = True, np.array(row["marks"], bool)
+        features[:n, i] = np.frombuffer(row["features"], np.int32).reshape(n, width)
+        real[:n, i], marks[:n, i] = True, np.frombuffer(row["marks"], np.int8) > 0
     return features, real, marks
 
 
@@ -236,7 +247,8 @@ def _read(docs: DataFrame, field: Field, with_spans: bool) -> DataFrame:
 
         def told(ids: list, texts: list[bytes], emissions: list[np.ndarray]) -> pa.RecordBatch:
             pieces = [_chains(e) for e in emissions]
-            found = _toxic_marginals(np.concatenate(pieces), field) if sum(map(len, pieces)) else np.zeros((0, CHAIN))
+            together = np.ascontiguousarray(np.concatenate(pieces).T)
+            found = np.ascontiguousarray(marginals(together, ~np.isnan(together), field.transitions).T)
             most, expected, spans, at = [], [], [], 0
             for value, own, emission in zip(texts, pieces, emissions):
                 p = found[at : at + len(own)].ravel()[: len(emission)]
@@ -278,15 +290,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     """
     rows = doc_rows(docs, doc_id, text)
     known = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(toxic).cast("int").alias("toxic")).filter("toxic IN (0, 1)")
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    labelled = durable(rows.filter(fold("doc_id", FOLDS) != 0).join(known, "doc_id"), "labelled")
+    known = known.filter(fold("doc_id", FOLDS) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = durable(known.join(rows.select("doc_id"), "doc_id", "left_semi"), "known")
+    of_label = dict(known.groupBy("toxic").count().collect())
+    taken = [r for t in (0, 1) for r in known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()]
+    sample = docs.sparkSession.createDataFrame([tuple(r) for r in taken], "doc_id bigint, toxic int")
+    labelled = durable(rows.join(F.broadcast(sample), "doc_id"), "labelled")  # of two times SAMPLE_DOCS ids at most
     clean, bad, n_clean, n_bad = _class_counts(labelled)
     odds = log_odds(clean, bad, n_clean, n_bad)
     field = train_field(odds, *_sampled_chains(labelled, odds))
     if n_bad:
-        sample = _read(labelled.select("doc_id", "text"), field, False).join(known, "doc_id")
-        taken = sample.select("most", "expected", "toxic", "doc_id").orderBy(F.xxhash64("doc_id"), "most", "expected").limit(SAMPLE_DOCS).toPandas()
-        field.calibration = calibrate(*(taken[c].to_numpy(float) for c in ("most", "expected", "toxic")))
+        judged = _read(labelled.select("doc_id", "text"), field, False).join(F.broadcast(sample), "doc_id")
+        columns = judged.select("most", "expected", "toxic").toArrow()
+        most, expected, label = (columns[c].to_numpy().astype(float) for c in ("most", "expected", "toxic"))
+        share = np.where(label == 1, of_label.get(1, 0) / n_bad, of_label.get(0, 0) / max(1, n_clean))
+        field.calibration = calibrate(most, expected, label, share)
     a, b, c = map(F.lit, field.calibration)
     score = 1 / (1 + F.exp(-(a + b * F.col("most") + c * F.log1p("expected"))))
     scored = _read(rows, field, True).withColumn("score", score)
