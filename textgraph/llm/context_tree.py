@@ -5,7 +5,8 @@ last d bytes and the byte's bits so far, with a Krichevsky-Trofimov estimate of
 estimates of all depths, and since block probabilities need counts alone, the tree is learnt by counting:
 
 1. Documents are dealt to blocks; a block tells its distinct (context, byte) strings and words, with training counts.
-   Strings travel packed: one row holds a block's strings of one part, dealt by hash, as a sorted array.
+   Documents travel compressed, strings packed: one row holds a block's strings of one part, dealt by hash, as a
+   sorted array.
 2. Counts are summed over blocks. Subtrees below two context bytes are weighted inside tasks, each in one task; what
    is above is two levels of bounded size, summed over all subtrees.
 3. Every distinct string gets its code length from the tree, and each part answers the blocks that hold its strings;
@@ -29,9 +30,9 @@ from .columns import LOWER, UPPER, doc_rows, fold, text_bytes
 # Fixed values of the contract: documents of this fold of seven are not learnt from.
 FOLDS, HELD_OUT = 7, 2
 # Context bytes of the deepest nodes.
-DEPTH = 6
+DEPTH = 5
 # Text bytes of a block, and of the slices in which a block is read.
-BLOCK_BYTES, SLICE_BYTES = 32 << 20, 2 << 20
+BLOCK_BYTES, SLICE_BYTES = 16 << 20, 2 << 20
 # Parts that the strings are dealt to, at most; a part is merged and looked up as a whole.
 PARTS = 4096
 # Strings weighted together; a subtree is never cut.
@@ -146,14 +147,40 @@ def strings(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return key[real], np.cumsum(sizes) - sizes
 
 
-def _slices(table: pa.Table) -> Iterator[pa.Table]:
-    """A block's rows in runs of bounded text."""
-    sizes = pc.binary_length(table["text"]).to_numpy()
-    part = np.cumsum(sizes) // SLICE_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
-    for a, b in zip(cuts, cuts[1:]):
-        if b > a:
-            yield table.take(np.arange(a, b)).combine_chunks()  # copied: string functions see no offsets
+def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch that go to one block as one compressed record batch."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        block = batch.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, block[order][1:] != block[order][:-1], True]) if len(block) else [0]
+        rows = []
+        for a, b in zip(cuts, cuts[1:]):
+            taken = batch.select(["doc_id", "train", "text"]).take(order[a:b])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, taken.schema, options=options) as out:
+                out.write_batch(taken)
+            rows.append((int(block[order[a]]), sink.getvalue().to_pybytes()))
+        columns = zip(*rows) if rows else [[]] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary()))], names=["block", "rows"])
+
+
+def _slices(bundles: pa.Table) -> Iterator[pa.Table]:
+    """A block's documents, unpacked, in runs of bounded text; one row a document."""
+    held, size = [], 0
+    for bundle in bundles["rows"]:
+        with pa.ipc.open_stream(bundle.as_buffer()) as rows:
+            table = rows.read_all()
+        ends = np.cumsum(pc.binary_length(table["text"]).to_numpy()) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(table)]
+        for a, b in zip(cuts, cuts[1:]):
+            held.append(table.take(np.arange(a, b)))  # copied: string functions see no offsets
+            size += held[-1].nbytes
+            if size >= SLICE_BYTES:
+                yield pa.concat_tables(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
 
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -203,7 +230,7 @@ VOCABULARY = "block bigint, part int, grams binary, counts binary, word string,
 
 def _vocabulary(depth: int, parts: int):
     def tell(table: pa.Table) -> pa.Table:
-        keys, counts, words = [], [], []
+        keys, counts, words, held, kept = [], [], [], 0, 0
         for part in _slices(table):
             for train in (True, False):
                 rows = part.filter(pc.equal(part["train"], train))
@@ -216,6 +243,11 @@ def _vocabulary(depth: int, parts: int):
                 told = pc.value_counts(_words(text)[0])
                 n = told.field("counts") if train else pa.array(np.zeros(len(told), np.int64))
                 words.append(pa.table({"key": told.field("values"), "n": n.cast(pa.int64())}))
+                held += len(found)
+            if held > 2 * kept + TOGETHER:
+                key, count = _summed(keys, counts)
+                keys, counts, held, kept = [key], [count], len(key), len(key)
+                words = [pa.concat_tables(words).group_by("key").aggregate([("n", "sum")]).rename_columns(["key", "n"])]
         key, count = _summed(keys, counts)
         packed = [(p, _packed(key[at]), _packed(count[at])) for p, at in _by_part(key, parts)]
         words = pa.concat_tables(words).group_by("key").aggregate([("n", "sum")])
@@ -223,7 +255,7 @@ def _vocabulary(depth: int, parts: int):
         empty = pa.nulls(len(words), pa.binary())
         return pa.table(
             {
-                "block": pa.array(np.full(size, table["block"][0].as_py())),
+                "block": pa.array(np.full(size, table["block"][0].as_py(), np.int64)),
                 "part": pa.concat_arrays([pa.array([p for p, _, _ in packed], pa.int32()), pa.nulls(len(words), pa.int32())]),
                 "grams": pa.concat_arrays([pa.array([k for _, k, _ in packed], pa.binary()), empty]),
                 "counts": pa.concat_arrays([pa.array([c for _, _, c in packed], pa.binary()), empty]),
@@ -296,7 +328,7 @@ def _lengths(depth: int, parts: int, upper):
     return tell
 
 
-ANSWERS = "block bigint, grams binary, lengths binary"
+ANSWERS = "block bigint, part int, lengths binary"
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,18 +347,34 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 key, value = np.concatenate(keys), np.concatenate(values)
                 order = np.argsort(key)
                 table = key[order], value[order]
-            rows.append((block, k, _packed(table[1][np.searchsorted(table[0], _unpacked(k, np.int64))])))
+            rows.append((block, p, _packed(table[1][np.searchsorted(table[0], _unpacked(k, np.int64))])))
         if rows:
-            kinds = (pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["block", "grams", "lengths"])
+            kinds = (pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["block", "part", "lengths"])
+
+
+def _distinct_strings(bundles: pa.Table, depth: int) -> np.ndarray:
+    """A block's distinct strings, sorted, as it has asked for them."""
+    keys, held, kept = [], 0, 0
+    for part in _slices(bundles):
+        texts = [t.translate(_FOLD) for t in text_bytes(_array(part["text"]))]
+        keys.append(np.unique(strings(texts, depth)[0].view(np.int64)))
+        held += len(keys[-1])
+        if held > 2 * kept + TOGETHER:
+            keys = [np.unique(np.concatenate(keys))]
+            held = kept = len(keys[0])
+    return np.unique(np.concatenate(keys))
 
 
-def _scores(depth: int, known: int, distinct: int):
+def _scores(depth: int, parts: int, known: int, distinct: int):
     def score(_, table: pa.Table, values: pa.Table) -> pa.Table:
         is_word = pc.is_valid(values["word"])
         words, packed = values.filter(is_word), values.filter(pc.invert(is_word))
-        grams = pd.Index(np.concatenate([_unpacked(b, np.int64) for b in packed["grams"].to_pylist()]))
-        length_of = np.concatenate([_unpacked(b, np.float32) for b in packed["lengths"].to_pylist()]).astype(float)
+        key = _distinct_strings(table, depth)
+        length_of, answers = np.empty(len(key)), dict(zip(packed["part"].to_pylist(), packed["lengths"]))
+        for p, at in _by_part(key, parts):
+            length_of[at] = _unpacked(answers[p].as_py(), np.float32)
+        grams = pd.Index(key)
         word_set, word_count = _array(words["word"]).cast(pa.large_string()), words["value"].to_numpy()
         out = []
         for part in _slices(table):
@@ -370,7 +418,8 @@ def context_tree_scores(
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     train = fold("doc_id", FOLDS) != HELD_OUT
-    dealt = rows.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).alias("block"), "doc_id", train.alias("train"), "text")
+    placed = rows.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).alias("block"), "doc_id", train.alias("train"), "text")
+    dealt = placed.mapInArrow(_bundles, "block bigint, rows binary")
     parts = min(PARTS, max(8, 2 * blocks))
     vocabulary = durable(dealt.groupBy("block").applyInArrow(_vocabulary(depth, parts), VOCABULARY), "vocabulary")
     by_part, by_word = vocabulary.filter("part IS NOT NULL"), vocabulary.filter("word IS NOT NULL")
@@ -392,10 +441,10 @@ def context_tree_scores(
     both = lengths.select("part", nothing.cast("bigint").alias("block"), "grams", "lengths").unionByName(asked)
     answers = both.repartition("part").sortWithinPartitions("part", F.asc_nulls_first("block")).mapInArrow(_answered, ANSWERS)
     values = answers.select("*", nothing.cast("string").alias("word"), nothing.cast("double").alias("value")).unionByName(
-        by_word.join(words, "word").select("block", nothing.cast("binary").alias("grams"), nothing.cast("binary").alias("lengths"), "word", "value")
+        by_word.join(words, "word").select("block", nothing.cast("int").alias("part"), nothing.cast("binary").alias("lengths"), "word", "value")
     )
     result = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
-    scored = dealt.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(_scores(depth, int(known), distinct), result)
+    scored = dealt.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(_scores(depth, parts, int(known), distinct), result)
     return scored.select(
         "doc_id",
         (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"),
