@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,11 @@ def doc_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), whole_text(text).alias("text"))
 
 
+def each_text(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 bytes of an Arrow string column without nulls, one text at a time."""
+    return (value.as_py() for value in column.cast(pa.large_binary()))
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column without nulls."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.durable import durable
-from .columns import doc_rows, text_bytes
+from .columns import doc_rows, each_text
 
 # Bytes of a repeat, bytes of an anchor.
 LENGTH, K = 200, 64
@@ -120,7 +120,7 @@ def _runs_of_texts(length: int, k: int):
             yield _rows([c[~again] for c in columns], RUN)
 
         for batch in batches:
-            for doc, crc, value in zip(batch.column("doc").to_pylist(), batch.column("crc").to_pylist(), text_bytes(batch.column("text"))):
+            for doc, crc, value in zip(batch.column("doc").to_pylist(), batch.column("crc").to_pylist(), each_text(batch.column("text"))):
                 found = runs(np.frombuffer(value, np.uint8), length, k)
                 n = len(found[0])
                 if n:
@@ -182,8 +182,8 @@ def _contexts(length: int):
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, crc, value, edges in zip(batch["doc"].to_pylist(), batch["crc"].to_pylist(), text_bytes(batch["text"]), batch["edges"].to_pylist()):
-                for e in edges:
+            for doc, crc, value, edges in zip(batch["doc"].to_pylist(), batch["crc"].to_pylist(), each_text(batch["text"]), batch["edges"]):
+                for e in edges.as_py():
                     stretch = value[e["first"] : e["last"] + length]
                     salts = [0] if e["salts"] == 1 else np.unique(_salts(stretch, length, e["salts"])).tolist()
                     rows += [(e["h"], s, e["salts"], doc, crc, e["first"], e["last"], e["anchor"], stretch) for s in salts]
@@ -317,22 +317,22 @@ def _shared(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[same, False] | np.r_[False, same]) if len(sorted_values) else np.zeros(0, np.int64)
 
 
-def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def merged_spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     """Overlapping and touching spans as one."""
-    out: list[list[int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([start, end])
-    return [tuple(s) for s in out]
+    if not len(starts):
+        return []
+    order = np.argsort(starts)
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.flatnonzero(np.r_[True, starts[1:] > reach[:-1]])
+    return list(zip(starts[first].tolist(), reach[np.r_[first[1:], len(starts)] - 1].tolist()))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for value, spans in zip(text_bytes(batch["text"]), batch["spans"].to_pylist()):
-            merged = merged_spans([(s["start"], s["end"]) for s in spans or ()])
+        for value, spans in zip(each_text(batch["text"]), batch["spans"]):
+            found = spans.values
+            merged = merged_spans(*(found.field(c).to_numpy() for c in ("start", "end"))) if spans.is_valid else []
             kept, at = [], 0
             for start, end in merged:
                 kept.append(value[at:start])
