@@ -3,7 +3,7 @@
 Every document has an expected number of times to be taken. Its whole part is taken for sure; of the fraction, the
 cube method makes a choice: in blocks of documents, fractions walk through the null space of the constraints (total
 words, number of documents) until all but two of a block are 0 or 1. The undecided of all blocks are dealt to new
-blocks and walk on, until a source has at most a handful, which land by themselves.
+blocks and walk on, until a source has a few at most; these land near its target, together with a few small documents.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ SHARE = 1.5
 MOST = 2.0
 # Documents of a source that walk together.
 BLOCK = 4096
+# Small documents that help the last undecided ones of a source to land near its target.
+HELPERS = 10
 # A fraction this close to 0 or 1 is decided.
 EPSILON = 1e-9
 
@@ -91,14 +93,17 @@ def flight(chance: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarra
     return chance
 
 
-def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Decide the last few: the choice whose words are nearest to what is expected, fewer documents among equals."""
+def landing(chance: np.ndarray, size: np.ndarray, helpers: int = HELPERS) -> np.ndarray:
+    """Decide the last few, together with the ``helpers`` smallest decided ones: a choice whose words are nearest to
+    what is expected, of such ones that with the fewest decisions changed."""
     chance = chance.copy()
-    open_ = np.flatnonzero((chance > EPSILON) & (chance < 1 - EPSILON))
-    expected = float((chance[open_] * size[open_]).sum())
-    choices = [(abs(float(size[open_][bits].sum()) - expected), int(bits.sum()), tuple(bits)) for bits in
-               (np.array([k >> j & 1 for j in range(len(open_))], bool) for k in range(1 << len(open_)))]
-    chance[open_] = np.array(min(choices)[2], float)
+    is_open = (chance > EPSILON) & (chance < 1 - EPSILON)
+    smallest = np.argsort(np.where(is_open, np.inf, size), kind="stable")[: min(helpers, int((~is_open).sum()))]
+    free = np.concatenate([np.flatnonzero(is_open), smallest])
+    choices = np.arange(1 << len(free))[:, None] >> np.arange(len(free)) & 1
+    missed = np.abs(choices @ size[free] - (chance[free] * size[free]).sum())
+    changed = (choices[:, int(is_open.sum()) :] != chance[smallest].round()).sum(axis=1)
+    chance[free] = choices[np.lexsort((changed, missed.round(6)))[0]]
     return chance.round()
 
 

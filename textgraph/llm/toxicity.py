@@ -81,10 +81,9 @@ class Field:
     transitions: tuple[float, float, float, float] = (0.0, 0.0, 0.0, 0.0)
     calibration: tuple[float, float, float] = (-20.0, 0.0, 0.0)
 
-    def emission(self, word: bytes) -> float:
-        """How much a word by itself speaks for the toxic state."""
-        at = list(word_features(word))
-        return self.bias + self.odds_weight * float(self.odds[at].max()) + float(self.weights[at].sum())
+    def emission(self, features: np.ndarray) -> np.ndarray:
+        """How much words by themselves speak for the toxic state, by the features of each."""
+        return self.bias + self.odds_weight * self.odds[features].max(axis=1, initial=0.0) + self.weights[features].sum(axis=1)
 
 
 def _ratios(emission: np.ndarray, real: np.ndarray, transitions: tuple) -> tuple[np.ndarray, ...]:
@@ -243,7 +242,7 @@ def _read(docs: DataFrame, field: Field, with_spans: bool) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = shared.value
-        table = _Words(field.emission, 1, np.float64)
+        table = _Words(word_features, 1 + len(PREFIXES), np.int32)
 
         def told(ids: list, texts: list[bytes], emissions: list[np.ndarray]) -> pa.RecordBatch:
             pieces = [_chains(e) for e in emissions]
@@ -268,7 +267,7 @@ def _read(docs: DataFrame, field: Field, with_spans: bool) -> DataFrame:
                 words = value.split()
                 ids.append(doc)
                 texts.append(value)
-                emissions.append(table.values(words)[:, 0])
+                emissions.append(field.emission(table.values(words)))
                 held += len(words)
                 if held >= TOGETHER:
                     yield told(ids, texts, emissions)
