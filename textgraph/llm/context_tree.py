@@ -32,11 +32,11 @@ FOLDS, HELD_OUT = 7, 2
 # Context bytes of the deepest nodes.
 DEPTH = 5
 # Text bytes of a block, and of the slices in which a block is read.
-BLOCK_BYTES, SLICE_BYTES = 16 << 20, 2 << 20
+BLOCK_BYTES, SLICE_BYTES = 16 << 20, 1 << 20
 # Parts that the strings are dealt to, at most; a part is merged and looked up as a whole.
 PARTS = 4096
 # Strings weighted together; a subtree is never cut.
-TOGETHER = 1 << 19
+TOGETHER = 1 << 17
 # UTF-8 has no such byte: it ends a text and stands before it.
 END = b"\xff"
 # The end of a text among the words, which hold no blanks.
@@ -251,6 +251,7 @@ def _vocabulary(depth: int, parts: int):
         key, count = _summed(keys, counts)
         packed = [(p, _packed(key[at]), _packed(count[at])) for p, at in _by_part(key, parts)]
         words = pa.concat_tables(words).group_by("key").aggregate([("n", "sum")])
+        pa.default_memory_pool().release_unused()  # workers are used again, and keep what Arrow keeps
         size = len(packed) + len(words)
         empty = pa.nulls(len(words), pa.binary())
         return pa.table(
@@ -397,6 +398,7 @@ def _scores(depth: int, parts: int, known: int, distinct: int):
                     }
                 )
             )
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
 
     return score
