@@ -127,6 +127,37 @@ def test_repeats_survive_hash_collisions(docs, monkeypatch):
     assert repeats.repeated_windows(data, starts, np.zeros(3, np.int64), 8).tolist() == [True, False, True]
 
 
+def test_windows_of_a_frequent_anchor_travel_once_a_task():
+    """A passage between ever different neighbours: of its windows, one of a task goes on, and never with its bytes."""
+    import pyarrow as pa
+
+    from textgraph.llm import repeats
+
+    rng, length, k, n = random.Random(5), 40, 12, 60
+    letters = lambda m: bytes(rng.choice(b"abcdefgh") for _ in range(m))
+    passage = letters(44)
+    texts = [letters(29) + bytes([60 + i]) + passage + bytes([60 + i]) + letters(29) for i in range(n)]
+    found = [repeats.runs(np.frombuffer(t, np.uint8), length, k) for t in texts]
+    inside = [[j for j in range(len(f[0])) if f[2][j] <= 34 and f[3][j] >= 30] for f in found]
+    edges = [[{"h": f[0][j], "frequent": True, **{c: int(f[i][j]) for c, i in (("first", 2), ("last", 3), ("anchor", 4))}} for j in js] for f, js in zip(found, inside)]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(n)), "crc": [0] * n, "text": [t.decode() for t in texts], "edges": edges})
+
+    def rows(part):
+        return [r for b in repeats._contexts(length, 1000)(iter([part])) for r in b.to_pylist()]
+
+    told = rows(batch)
+    windows = [r for r in told if r["kind"] == repeats.WINDOW]
+    assert not any(r["bytes"] for r in told)
+    assert max(Counter((r["h"], r["h2"]) for r in windows).values()) == 1
+    covered = {(r["doc"], s) for r in told if r["kind"] == repeats.REPEAT for s in range(r["first"], r["last"] + 1)}
+    assert covered == {(d, s) for d in range(n) for s in range(30, 35)}
+    # Two tasks of one text each know nothing of each other's windows until these meet.
+    apart = rows(batch.slice(0, 1)) + rows(batch.slice(1, 1))
+    met = pa.RecordBatch.from_pylist(sorted(apart, key=lambda r: (r["kind"], r["h"], r["h2"])), schema=pa.schema(repeats.CONTEXT_TYPES))
+    spans = [r for b in repeats._sorted_edges(length)(iter(met.slice(i, 7) for i in range(0, len(met), 7))) for r in b.to_pylist()]
+    assert sorted((r["doc"], r["first"]) for r in spans) == [(d, s) for d in (0, 1) for s in range(30, 35)]
+
+
 def plain_targets(sizes: dict) -> dict:
     order = sorted((s for s in sizes if s is not None), key=str.encode) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}

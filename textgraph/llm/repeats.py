@@ -8,6 +8,8 @@ small record, dealt out by the anchor's hash.
 2. Where runs with equal anchors differ, at the edges of repeats, one run of each kind has its bytes fetched, and
    its windows are sorted: a mergesort that compares two suffixes by binary search for their common extension over
    prefix polynomial hashes. Neighbours in the order that agree over LENGTH bytes are compared byte by byte.
+3. Windows of a frequent anchor are sorted where their texts are read, some runs at a time; one of each kind goes on
+   without bytes, as a digest of them, and meets those of other tasks as a neighbour in a sorted stream.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from .columns import doc_rows, each_text
 LENGTH, K = 200, 64
 # Bytes of text looked at together in a task.
 TOGETHER = 2 << 20
-# Runs with one anchor that are sorted together; of a more frequent anchor, windows are dealt out by their hash.
+# Runs with one anchor that are sorted together; of a more frequent anchor, windows meet one by one.
 GROUP = 1_000
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -92,8 +94,8 @@ def runs(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
 
 RECORD = ["h", "full", "doc", "crc", "first", "last", "anchor"]
 SCHEMA = "h bigint, full bigint, doc bigint, crc bigint, first bigint, last bigint, anchor bigint, kind int"
-# A run that is a repeat as a whole; one to be compared; one to be compared by its bytes.
-REPEAT, RUN, EDGE = 0, 1, 2
+# A run that is a repeat as a whole; one to be compared; one to be compared by its bytes; a window of a frequent anchor.
+REPEAT, RUN, EDGE, WINDOW = 0, 1, 2, 3
 
 
 def _rows(columns: list[np.ndarray], kind: int) -> pa.RecordBatch:
@@ -173,32 +175,55 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = ([c[held:] for c in columns], was_repeated, was_edge)
 
 
-CONTEXT = "h bigint, salt int, salts int, doc bigint, crc bigint, first bigint, last bigint, anchor bigint, bytes binary"
+CONTEXT = "kind int, h bigint, h2 bigint, doc bigint, crc bigint, first bigint, last bigint, anchor bigint, bytes binary"
+CONTEXT_TYPES = [("kind", pa.int32()), *((c, pa.int64()) for c in ("h", "h2", "doc", "crc", "first", "last", "anchor")), ("bytes", pa.binary())]
 
 
-def _contexts(length: int):
-    """The bytes around each edge run; of an anchor dealt over salts, a copy for each salt that one of its windows has."""
+def _context_rows(columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, CONTEXT_TYPES)], names=[n for n, _ in CONTEXT_TYPES])
+
+
+def _contexts(length: int, group: int):
+    """The bytes around each edge run. Of frequent anchors, repeats among ``group`` runs, and one window of each kind.
+
+    Such a window has the halves of its digest as ``h`` and ``h2``, and in ``anchor`` whether it is a known repeat.
+    """
+
+    def windows(runs_: list[tuple]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches([_context_rows(list(zip(*sorted(runs_, key=lambda r: r[1]))))])
+        data, owner, step, start, found, again = _judged(rows, length)
+        spans = _spans(rows, owner, step, np.flatnonzero(found))
+        n = len(spans[0])
+        yield _context_rows([np.full(n, REPEAT), *spans, [b""] * n])
+        one = np.flatnonzero(~again)
+        view = memoryview(data)
+        told = b"".join(hashlib.blake2b(view[s : s + length], digest_size=16).digest() for s in start[one].tolist())
+        high, low = np.frombuffer(told, np.int64).reshape(-1, 2).T
+        doc, crc, first = (rows[c].to_numpy()[owner[one]] for c in ("doc", "crc", "first"))
+        at = first + step[one]
+        yield _context_rows([np.full(len(one), WINDOW), high, low, doc, crc, at, at, found[one].astype(np.int64), [b""] * len(one)])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, crowd = None, []
         for batch in batches:
             rows = []
             for doc, crc, value, edges in zip(batch["doc"].to_pylist(), batch["crc"].to_pylist(), each_text(batch["text"]), batch["edges"]):
+                if (doc, crc) == before:
+                    continue  # a repeated row: all its runs are known to be repeats
+                before = (doc, crc)
                 for e in edges.as_py():
                     stretch = value[e["first"] : e["last"] + length]
-                    salts = [0] if e["salts"] == 1 else np.unique(_salts(stretch, length, e["salts"])).tolist()
-                    rows += [(e["h"], s, e["salts"], doc, crc, e["first"], e["last"], e["anchor"], stretch) for s in salts]
-            names = [c.split()[0] for c in CONTEXT.split(", ")]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 5, pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 9, kinds)], names=names)
+                    (crowd if e["frequent"] else rows).append((EDGE, e["h"], 0, doc, crc, e["first"], e["last"], e["anchor"], stretch))
+                    if len(crowd) >= group:
+                        yield from windows(crowd)
+                        crowd = []
+            yield _context_rows(list(zip(*rows)) if rows else [[]] * 9)
+        if crowd:
+            yield from windows(crowd)
 
     return fetch
 
 
-def _salts(stretch: bytes, length: int, salts: int) -> np.ndarray:
-    starts = np.arange(len(stretch) - length + 1)
-    return (_mixed(Hashes(np.frombuffer(stretch, np.uint8)).of(starts, starts + length)) % np.uint64(salts)).astype(np.int64)
-
-
 def common_extension(hashes: Hashes, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """How many bytes, ``most`` at most, the strings from ``a`` and ``b`` on agree, by binary search over hashes."""
     low, high = np.zeros(len(a), np.int64), np.full(len(a), most)
@@ -246,16 +271,21 @@ def suffix_order(data: np.ndarray, hashes: Hashes, starts: np.ndarray, bucket: n
 
 def repeated_windows(data: np.ndarray, starts: np.ndarray, bucket: np.ndarray, length: int) -> np.ndarray:
     """Which of the windows of ``data`` at ``starts`` (grouped by ``bucket``) equal another of their bucket."""
+    return same_windows(data, starts, bucket, length)[0]
+
+
+def same_windows(data: np.ndarray, starts: np.ndarray, bucket: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows equal another of their bucket, and which of these are not the one that stands for its kind."""
     hashes = Hashes(data)
     order = suffix_order(data, hashes, starts, bucket, length)
     views = np.lib.stride_tricks.sliding_window_view(data, length)
     near = np.flatnonzero(bucket[1:] == bucket[:-1])
     near = near[hashes.of(order[near], order[near] + length) == hashes.of(order[near + 1], order[near + 1] + length)]
-    found, wrong = np.zeros(len(data) + 1, bool), set()
+    found, again, wrong = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool), set()
     for i in range(0, len(near), 20_000):
         part = near[i : i + 20_000]
         equal = (views[order[part]] == views[order[part + 1]]).all(axis=1)
-        found[order[part[equal]]] = found[order[part[equal] + 1]] = True
+        found[order[part[equal]]] = found[order[part[equal] + 1]] = again[order[part[equal] + 1]] = True
         wrong.update(bucket[part[~equal]].tolist())
     for b in wrong:  # different bytes of one hash: this bucket is grouped by its bytes
         seen: dict[bytes, list[int]] = {}
@@ -263,48 +293,71 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, bucket: np.ndarray, l
             seen.setdefault(data[s : s + length].tobytes(), []).append(s)
         for same in seen.values():
             found[same] = len(same) > 1
-    return found[starts]
+            again[same] = np.arange(len(same)) > 0
+    return found[starts], again[starts]
+
+
+def _judged(rows: pa.Table, length: int) -> tuple[np.ndarray, ...]:
+    """``(data, owner, step, start, found, again)``: all windows of contexts that lie together by anchor, as ``same_windows`` has them."""
+    data = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8)
+    h, first, last, anchor = (rows[c].to_numpy() for c in ("h", "first", "last", "anchor"))
+    windows = last - first + 1
+    offset = np.cumsum(windows + length - 1) - (windows + length - 1)
+    group = np.cumsum(np.r_[0, h[1:] != h[:-1]])
+    owner = np.repeat(np.arange(len(h)), windows)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    start = offset[owner] + step
+    bucket = group[owner] * (length + 1) + (anchor[owner] - first[owner] - step)
+    order = np.argsort(bucket, kind="stable")
+    crowded = order[_shared(bucket[order])]
+    found, again = np.zeros(len(start), bool), np.zeros(len(start), bool)
+    found[crowded], again[crowded] = same_windows(data, start[crowded], bucket[crowded], length)
+    return data, owner, step, start, found, again
+
+
+def _spans(rows: pa.Table, owner: np.ndarray, step: np.ndarray, hit: np.ndarray) -> list[np.ndarray]:
+    """The columns of RECORD for the runs of neighbouring windows among ``hit``."""
+    owner, step = owner[hit], step[hit]
+    cut = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (step[1:] != step[:-1] + 1)]) if len(hit) else np.zeros(0, np.int64)
+    final = np.r_[cut[1:], len(hit)] - 1 if len(hit) else cut
+    whose = owner[cut]
+    h, doc, crc, first, anchor = (rows[c].to_numpy()[whose] for c in ("h", "doc", "crc", "first", "anchor"))
+    return [h, np.zeros(len(cut), np.int64), doc, crc, first + step[cut], first + step[final], anchor]
 
 
 def _sorted_edges(length: int):
-    """Contexts come sorted by anchor and salt; whole groups of them are sorted together."""
+    """Contexts come sorted by anchor; whole groups of them are sorted together. Windows are judged by their neighbours, known repeats go through."""
 
     def resolve(rows: pa.Table) -> pa.RecordBatch:
-        data = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8)
-        h, salt, salts, doc, crc, first, last, anchor = (rows[c].to_numpy() for c in ("h", "salt", "salts", "doc", "crc", "first", "last", "anchor"))
-        windows = last - first + 1
-        offset = np.cumsum(windows + length - 1) - (windows + length - 1)
-        group = np.cumsum(np.r_[0, (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])])
-        owner = np.repeat(np.arange(len(h)), windows)
-        step = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-        start = offset[owner] + step
-        kept = np.ones(len(start), bool)
-        if (dealt := salts[owner] > 1).any():
-            own = _mixed(Hashes(data).of(start[dealt], start[dealt] + length)) % salts[owner[dealt]].astype(np.uint64)
-            kept[dealt] = own.astype(np.int64) == salt[owner[dealt]]
-        owner, step, start = owner[kept], step[kept], start[kept]
-        bucket = group[owner] * (length + 1) + (anchor[owner] - first[owner] - step)
-        order = np.argsort(bucket, kind="stable")
-        crowded = order[_shared(bucket[order])]
-        found = repeated_windows(data, start[crowded], bucket[crowded], length)
-        hit = np.sort(crowded[found])
-        owner, step = owner[hit], step[hit]
-        cut = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (step[1:] != step[:-1] + 1)]) if len(hit) else np.zeros(0, np.int64)
-        final = np.r_[cut[1:], len(hit)] - 1 if len(hit) else cut
-        whose = owner[cut]
-        return _rows([h[whose], np.zeros(len(cut)), doc[whose], crc[whose], first[whose] + step[cut], first[whose] + step[final], anchor[whose]], REPEAT)
+        _, owner, step, _, found, _ = _judged(rows, length)
+        return _rows(_spans(rows, owner, step, np.flatnonzero(found)), REPEAT)
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, before = None, None
+        names = ["h", "h2", *RECORD[2:]]
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            if len(held) >= GROUP:
-                h, salt = held["h"].to_numpy(), held["salt"].to_numpy()
-                cut = np.flatnonzero((h[1:] != h[:-1]) | (salt[1:] != salt[:-1]))
-                if len(cut):
-                    yield resolve(held.slice(0, int(cut[-1]) + 1))
-                    held = held.slice(int(cut[-1]) + 1)
+            kind = batch.column("kind")
+            if (done := batch.filter(pc.equal(kind, REPEAT))).num_rows:
+                yield _rows([done.column(c).to_numpy() for c in names], REPEAT)
+            if (contexts := batch.filter(pc.equal(kind, EDGE))).num_rows:
+                table = pa.Table.from_batches([contexts])
+                held = table if held is None else pa.concat_tables([held, table])
+                if len(held) >= GROUP:
+                    h = held["h"].to_numpy()
+                    cut = np.flatnonzero(h[1:] != h[:-1])
+                    if len(cut):
+                        yield resolve(held.slice(0, int(cut[-1]) + 1))
+                        held = held.slice(int(cut[-1]) + 1)
+            if (windows := batch.filter(pc.equal(kind, WINDOW))).num_rows:
+                columns = [windows.column(c).to_numpy() for c in names]
+                if before is not None:
+                    columns = [np.r_[b, c] for b, c in zip(before, columns)]
+                high, low, known = columns[0], columns[1], columns[-1]
+                same = (high[1:] == high[:-1]) & (low[1:] == low[:-1])
+                repeated = np.r_[same, False] | np.r_[False, same]
+                if (fresh := repeated & (known == 0)).any():
+                    yield _rows([c[fresh] for c in columns], REPEAT)
+                before = [*(c[-1:] for c in columns[:-1]), (known | repeated)[-1:]]
         if held is not None and len(held):
             yield resolve(held)
 
@@ -366,12 +419,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     compared = durable(ordered.mapInArrow(_compared, SCHEMA), "compared")
     edges = compared.filter(_is(EDGE))
     frequent = edges.groupBy("h").count().filter(F.col("count") > group)
-    salts = durable(frequent.select("h", F.ceil(F.col("count") / group).cast("int").alias("salts")), "frequent")
+    crowded = durable(frequent.select("h", F.lit(True).alias("frequent")), "frequent")
     # At most one in ``group`` edges has a frequent anchor of its own; how many there are decides the join.
-    salted = edges.join(salts, "h", "left").select("doc", "crc", F.struct("h", F.coalesce("salts", F.lit(1)).alias("salts"), "first", "last", "anchor").alias("e"))
-    wanted = salted.groupBy("doc", "crc").agg(F.collect_list("e").alias("edges"))
-    fetched = keyed.select("doc", "crc", "text").join(wanted, ["doc", "crc"]).mapInArrow(_contexts(length), CONTEXT)
-    sorted_ = fetched.repartition("h", "salt").sortWithinPartitions("h", "salt").mapInArrow(_sorted_edges(length), SCHEMA)
+    told_edges = edges.join(crowded, "h", "left").select("doc", "crc", F.struct("h", F.coalesce("frequent", F.lit(False)).alias("frequent"), "first", "last", "anchor").alias("e"))
+    wanted = told_edges.groupBy("doc", "crc").agg(F.collect_list("e").alias("edges"))
+    fetched = keyed.select("doc", "crc", "text").join(wanted, ["doc", "crc"]).mapInArrow(_contexts(length, group), CONTEXT)
+    meeting = F.when(_is(REPEAT), F.xxhash64("doc", "first")).otherwise(F.col("h"))
+    sorted_ = fetched.repartition(meeting).sortWithinPartitions("kind", "h", "h2").mapInArrow(_sorted_edges(length), SCHEMA)
     repeats = compared.filter(_is(REPEAT)).unionByName(sorted_)
     span = F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     spans = repeats.select("doc", "crc", span.alias("s")).groupBy("doc", "crc").agg(F.collect_set("s").alias("spans"))
