@@ -92,8 +92,8 @@ def runs(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
     return grams[anchor].view(np.int64), whole.view(np.int64), first, last, anchor
 
 
-RECORD = ["h", "full", "doc", "crc", "first", "last", "anchor"]
-SCHEMA = "h bigint, full bigint, doc bigint, crc bigint, first bigint, last bigint, anchor bigint, kind int"
+RECORD = ["h", "full", "doc", "digest", "first", "last", "anchor"]
+SCHEMA = "h bigint, full bigint, doc bigint, digest bigint, first bigint, last bigint, anchor bigint, kind int"
 # A run that is a repeat as a whole; one to be compared; one to be compared by its bytes; a window of a frequent anchor.
 REPEAT, RUN, EDGE, WINDOW = 0, 1, 2, 3
 
@@ -122,11 +122,11 @@ def _runs_of_texts(length: int, k: int):
             yield _rows([c[~again] for c in columns], RUN)
 
         for batch in batches:
-            for doc, crc, value in zip(batch.column("doc").to_pylist(), batch.column("crc").to_pylist(), each_text(batch.column("text"))):
+            for doc, digest, value in zip(batch.column("doc").to_pylist(), batch.column("digest").to_pylist(), each_text(batch.column("text"))):
                 found = runs(np.frombuffer(value, np.uint8), length, k)
                 n = len(found[0])
                 if n:
-                    parts.append([found[0], found[1], np.full(n, doc), np.full(n, crc), *found[2:]])
+                    parts.append([found[0], found[1], np.full(n, doc), np.full(n, digest), *found[2:]])
                     held += len(value)
                 if held >= TOGETHER:
                     yield from out(parts)
@@ -175,8 +175,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = ([c[held:] for c in columns], was_repeated, was_edge)
 
 
-CONTEXT = "kind int, h bigint, h2 bigint, doc bigint, crc bigint, first bigint, last bigint, anchor bigint, bytes binary"
-CONTEXT_TYPES = [("kind", pa.int32()), *((c, pa.int64()) for c in ("h", "h2", "doc", "crc", "first", "last", "anchor")), ("bytes", pa.binary())]
+CONTEXT = "kind int, h bigint, h2 bigint, doc bigint, digest bigint, first bigint, last bigint, anchor bigint, bytes binary"
+CONTEXT_TYPES = [("kind", pa.int32()), *((c, pa.int64()) for c in ("h", "h2", "doc", "digest", "first", "last", "anchor")), ("bytes", pa.binary())]
 
 
 def _context_rows(columns: list) -> pa.RecordBatch:
@@ -199,21 +199,21 @@ def _contexts(length: int, group: int):
         view = memoryview(data)
         told = b"".join(hashlib.blake2b(view[s : s + length], digest_size=16).digest() for s in start[one].tolist())
         high, low = np.frombuffer(told, np.int64).reshape(-1, 2).T
-        doc, crc, first = (rows[c].to_numpy()[owner[one]] for c in ("doc", "crc", "first"))
+        doc, digest, first = (rows[c].to_numpy()[owner[one]] for c in ("doc", "digest", "first"))
         at = first + step[one]
-        yield _context_rows([np.full(len(one), WINDOW), high, low, doc, crc, at, at, found[one].astype(np.int64), [b""] * len(one)])
+        yield _context_rows([np.full(len(one), WINDOW), high, low, doc, digest, at, at, found[one].astype(np.int64), [b""] * len(one)])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, crowd = None, []
         for batch in batches:
             rows = []
-            for doc, crc, value, edges in zip(batch["doc"].to_pylist(), batch["crc"].to_pylist(), each_text(batch["text"]), batch["edges"]):
-                if (doc, crc) == before:
+            for doc, digest, value, edges in zip(batch["doc"].to_pylist(), batch["digest"].to_pylist(), each_text(batch["text"]), batch["edges"]):
+                if (doc, digest) == before:
                     continue  # a repeated row: all its runs are known to be repeats
-                before = (doc, crc)
+                before = (doc, digest)
                 for e in edges.as_py():
                     stretch = value[e["first"] : e["last"] + length]
-                    (crowd if e["frequent"] else rows).append((EDGE, e["h"], 0, doc, crc, e["first"], e["last"], e["anchor"], stretch))
+                    (crowd if e["frequent"] else rows).append((EDGE, e["h"], 0, doc, digest, e["first"], e["last"], e["anchor"], stretch))
                     if len(crowd) >= group:
                         yield from windows(crowd)
                         crowd = []
@@ -321,8 +321,8 @@ def _spans(rows: pa.Table, owner: np.ndarray, step: np.ndarray, hit: np.ndarray)
     cut = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (step[1:] != step[:-1] + 1)]) if len(hit) else np.zeros(0, np.int64)
     final = np.r_[cut[1:], len(hit)] - 1 if len(hit) else cut
     whose = owner[cut]
-    h, doc, crc, first, anchor = (rows[c].to_numpy()[whose] for c in ("h", "doc", "crc", "first", "anchor"))
-    return [h, np.zeros(len(cut), np.int64), doc, crc, first + step[cut], first + step[final], anchor]
+    h, doc, digest, first, anchor = (rows[c].to_numpy()[whose] for c in ("h", "doc", "digest", "first", "anchor"))
+    return [h, np.zeros(len(cut), np.int64), doc, digest, first + step[cut], first + step[final], anchor]
 
 
 def _sorted_edges(length: int):
@@ -408,11 +408,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Removed is every byte in a string of ``length`` bytes that also starts elsewhere, in the same document or another;
     ``spans`` are the maximal removed runs as ``start:end`` in bytes. Texts shorter than ``length`` keep all; a null
     text is an empty one. A repeated row is a further document, so both of its copies are repeats of each other. Of
-    rows with one id but different texts, each has spans of its own.
+    rows with one id but different texts, each has spans of its own: they are told apart by 64 bits of their texts'
+    SHA-256, rows without an id by 128.
     """
     rows = doc_rows(docs, doc_id, text)
-    keyed = rows.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), F.crc32(F.col("text").cast("binary")).alias("crc"), "text")
-    told = keyed.select("doc", "crc", "text").mapInArrow(_runs_of_texts(length, k), SCHEMA)
+    keyed = rows.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "text")
+    keyed = keyed.select("doc_id", F.coalesce("doc_id", _half("sha", 1)).alias("doc"), _half("sha", 0).alias("digest"), "text")
+    told = keyed.select("doc", "digest", "text").mapInArrow(_runs_of_texts(length, k), SCHEMA)
     # Runs meet by anchor; known repeats, of which a frequent anchor has many, are spread.
     meeting = F.when(_is(RUN), F.col("h")).otherwise(F.xxhash64("doc", "first"))
     ordered = told.repartition(meeting).sortWithinPartitions("kind", "h", "full")
@@ -421,18 +423,23 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     frequent = edges.groupBy("h").count().filter(F.col("count") > group)
     crowded = durable(frequent.select("h", F.lit(True).alias("frequent")), "frequent")
     # At most one in ``group`` edges has a frequent anchor of its own; how many there are decides the join.
-    told_edges = edges.join(crowded, "h", "left").select("doc", "crc", F.struct("h", F.coalesce("frequent", F.lit(False)).alias("frequent"), "first", "last", "anchor").alias("e"))
-    wanted = told_edges.groupBy("doc", "crc").agg(F.collect_list("e").alias("edges"))
-    fetched = keyed.select("doc", "crc", "text").join(wanted, ["doc", "crc"]).mapInArrow(_contexts(length, group), CONTEXT)
+    told_edges = edges.join(crowded, "h", "left").select("doc", "digest", F.struct("h", F.coalesce("frequent", F.lit(False)).alias("frequent"), "first", "last", "anchor").alias("e"))
+    wanted = told_edges.groupBy("doc", "digest").agg(F.collect_list("e").alias("edges"))
+    fetched = keyed.select("doc", "digest", "text").join(wanted, ["doc", "digest"]).mapInArrow(_contexts(length, group), CONTEXT)
     meeting = F.when(_is(REPEAT), F.xxhash64("doc", "first")).otherwise(F.col("h"))
     sorted_ = fetched.repartition(meeting).sortWithinPartitions("kind", "h", "h2").mapInArrow(_sorted_edges(length), SCHEMA)
     repeats = compared.filter(_is(REPEAT)).unionByName(sorted_)
     span = F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end"))
-    spans = repeats.select("doc", "crc", span.alias("s")).groupBy("doc", "crc").agg(F.collect_set("s").alias("spans"))
-    placed = keyed.join(spans, ["doc", "crc"], "left").select("doc_id", "text", "spans")
+    spans = repeats.select("doc", "digest", span.alias("s")).groupBy("doc", "digest").agg(F.collect_set("s").alias("spans"))
+    placed = keyed.join(spans, ["doc", "digest"], "left").select("doc_id", "text", "spans")
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans string"
     return placed.mapInArrow(_cut, schema)
 
 
+def _half(sha: str, at: int) -> Column:
+    """The first (0) or second (1) 64 bits of a hexadecimal digest as BIGINT."""
+    return F.conv(F.substring(sha, 16 * at + 1, 16), 16, -10).cast("bigint")
+
+
 def _is(kind: int) -> Column:
     return F.col("kind") == kind
