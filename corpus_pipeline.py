@@ -1,63 +1,87 @@
 """From raw documents to a training mix, stage by stage; each stage's rows are written and read again by the next.
 
-The stages decide by ``doc_id``; rows that share an id stand or fall together, except that of rows which repeat an id
-and a text one stays. A null id is an id like any other. All columns of the documents, whatever their names, go
-through unchanged; only the last stage adds its own.
+Each stage gives its rows numbers, their places in the files they are read from, and decides by these: rows that share
+an id, or have none, stand or fall by their own texts. Ids only order rows of a group of which one stays, null last.
+All columns of the documents, whatever their names, go through unchanged; only the last stage adds its own.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textgraph.llm.columns import whole_text
 from textgraph.llm.decontaminate import leaks
-from textgraph.llm.exact_dedup import exact_duplicates, normalised
+from textgraph.llm.exact_dedup import exact_duplicates
 from textgraph.llm.mixing import mix
 from textgraph.llm.simhash import near_duplicates
 from textgraph.llm.toxicity import toxicity
 from textgraph.plans.durable import durable
 
+# The number of a row inside a stage.
+ROW = "__row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number for each row: its place in its file and the file's number; rows of no file are written first."""
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+        names = sorted(r[0] for r in placed.select("__file").distinct().collect())
+    except AnalysisException:
+        return _numbered(durable(docs, "documents"))
+    files = docs.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "__file string, __number bigint")
+    number = F.shiftleft("__number", 40) + F.col("__at")
+    return placed.join(F.broadcast(files), "__file").withColumn(ROW, number).drop("__file", "__number", "__at")
+
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id is not among the ``doc_id`` of ``rejected``."""
-    gone = rejected.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """The numbered documents whose number is not among the ``doc_id`` of ``rejected``."""
+    gone = rejected.select(F.col("doc_id").alias(ROW)).distinct()
+    return docs.join(gone, ROW, "left_anti").select(*[c for c in docs.columns if c != ROW])
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are likelier toxic than not go."""
-    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    docs = _numbered(docs)
+    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), told=ROW)
     return _without(docs, scored.filter("predicted = 1"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal but for blanks, the longest stays."""
-    left = _without(docs, exact_duplicates(docs).filter("NOT kept"))
-    repeated = docs.groupBy(F.col("doc_id").alias("__repeated")).count().filter("count > 1").select("__repeated")
-    if (again := durable(repeated, "repeated")).isEmpty():
-        return left
-    same_id = F.col("doc_id").eqNullSafe(F.col("__repeated"))
-    single = left.join(again, same_id, "left_anti")
-    text = F.sha2(normalised(F.coalesce("text", F.lit(""))).cast("binary"), 256)
-    return single.unionByName(left.join(again, same_id, "left_semi").withColumn("__text", text).dropDuplicates(["doc_id", "__text"]).drop("__text"))
+    """Of texts that are equal but for blanks, the longest stays, of these the one of the smallest id."""
+    docs = _numbered(docs)
+    groups = exact_duplicates(docs, doc_id=ROW).filter("group_size > 1").select(F.col("doc_id").alias(ROW), F.col("keep_id").alias("group"))
+    order = F.struct(-F.length(whole_text()), F.col("doc_id").isNull(), "doc_id", ROW).alias("place")
+    members = durable(docs.select(ROW, order).join(groups, ROW), "members")
+    best = members.groupBy("group").agg(F.min("place").alias("best")).select(F.col(f"best.{ROW}").alias(ROW))
+    return _without(docs, members.join(best, ROW, "left_anti").select(F.col(ROW).alias("doc_id")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document of the smallest id stays."""
-    placed = near_duplicates(docs)
-    return _without(docs, placed.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Of each group of near duplicates, the document of the smallest id stays, a row of its id and text with it."""
+    docs = _numbered(docs)
+    groups = near_duplicates(docs, doc_id=ROW).select(F.col("doc_id").alias(ROW), F.col("component_id").alias("group"))
+    # A row that repeats an id and a text is the same document; a row without an id is one of its own.
+    digest = F.when(F.col("doc_id").isNotNull(), F.sha2(whole_text().cast("binary"), 256)).otherwise("")
+    document = F.struct(F.col("doc_id").isNull().alias("absent"), F.coalesce("doc_id", ROW).alias("id"), digest.alias("digest"))
+    members = durable(docs.select(ROW, document.alias("document")).join(groups, ROW), "members")
+    best = members.groupBy("group").agg(F.min("document").alias("document"))
+    return _without(docs, members.join(best, "document", "left_anti").select(F.col(ROW).alias("doc_id")))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return _without(docs, leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    docs = _numbered(docs)
+    return _without(docs, leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id=ROW))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with how often (``times``) and how many words in all (``taken``)."""
-    chosen = mix(docs).filter("times > 0").select(F.col("doc_id").alias("__id"), "size", "target", "times", "taken")
+    docs = _numbered(docs)
     added = [c for c in ("size", "target", "times", "taken") if c not in docs.columns]
-    return docs.join(chosen.select("__id", *added).dropDuplicates(["__id"]), F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
+    chosen = mix(docs, doc_id=ROW).filter("times > 0").select(F.col("doc_id").alias(ROW), *added)
+    return docs.join(chosen, ROW).select(*[c for c in docs.columns if c != ROW], *added)
 
 
 STAGES = [

@@ -79,5 +79,39 @@ def test_stages_keep_columns_and_clean_documents(stage, spark, edge_docs, docs,
     assert function(spark, docs([]), str(tmp_path)).count() == 0
 
 
+@pytest.mark.parametrize("shared", [None, 5])
+def test_stages_reject_row_by_row(shared, spark, docs, tmp_path):
+    """Of rows without an id, or of one id, a copy, a near copy and a leak go alone."""
+    words = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(3)]
+    item = "the quick benchmark item that nobody should ever learn by heart"
+    clean = [(shared, words[0]), (shared, words[1])]
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def left(stage, *rows):
+        return sorted(r.text for r in stage(spark, docs([*clean, *rows]), str(tmp_path)).collect())
+
+    own = sorted(t for _, t in clean)
+    assert left(corpus_pipeline.drop_copies, (1, words[2] + "  "), (shared, words[2])) == sorted([*own, words[2] + "  "])
+    assert left(corpus_pipeline.drop_copies, (shared, words[2]), (1, words[2])) == sorted([*own, words[2]])
+    assert left(corpus_pipeline.drop_near_copies, (1, words[2]), (shared, words[2])) == sorted([*own, words[2]])
+    assert left(corpus_pipeline.drop_leaks, (shared, f"so {item} it is")) == own
+
+
+def test_toxic_rows_go_alone(spark, docs, tmp_path):
+    """A toxic row without an id takes no clean one along."""
+    rows = [(i, "you are a stupid filthy moron " * 4 if i % 2 else f"a fine day number {i} with sun and tea " * 4) for i in range(200)]
+    spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows += [(None, rows[1][1]), (None, rows[2][1])]
+    out = corpus_pipeline.reject_toxic(spark, docs(rows), str(tmp_path)).collect()
+    assert [r.text for r in out if r.doc_id is None] == [rows[2][1]]
+
+
+def test_the_mix_decides_by_row(spark, docs, tmp_path):
+    """Each row has its own decision and size, whatever its id."""
+    rows = [(None, "word " * (1 + i % 7) + str(i), "ab"[i % 2]) for i in range(60)]
+    out = corpus_pipeline.mix_sources(spark, docs(rows), str(tmp_path)).collect()
+    assert len(out) > 1 and all(r["size"] == len(r.text.split()) and r.taken == r.times * r["size"] for r in out)
+
+
 def test_every_dealt_operator_is_registered():
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))

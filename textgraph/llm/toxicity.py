@@ -278,14 +278,17 @@ def _read(docs: DataFrame, field: Field, with_spans: bool) -> DataFrame:
     return docs.mapInArrow(read, "doc_id bigint, most double, expected double, spans string")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> DataFrame:
+def toxicity(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", told: str | None = None
+) -> DataFrame:
     """``<doc_id, held_out, score, predicted, spans>``, one row per document.
 
     ``score`` is the probability of the label 1, ``spans`` the offending words as ``start:end`` in code points.
     Learnt are only rows whose crc32(doc_id) mod 5 is not 0 (the others are ``held_out``); ids and labels are never
     inputs of a score. A document labelled twice is toxic if any label says so; null labels and labels of unknown
     documents are left out. Empty and null texts score as a text without toxic words. Without any toxic training
-    document nothing is learnt, and all scores are near 0.
+    document nothing is learnt, and all scores are near 0. ``told`` names a column to tell, as ``doc_id``, in place of
+    the id that labels and ``held_out`` go by: a number for each row tells rows apart that share an id.
     """
     rows = doc_rows(docs, doc_id, text)
     known = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(toxic).cast("int").alias("toxic")).filter("toxic IN (0, 1)")
@@ -306,7 +309,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
         field.calibration = calibrate(most, expected, label, share)
     a, b, c = map(F.lit, field.calibration)
     score = 1 / (1 + F.exp(-(a + b * F.col("most") + c * F.log1p("expected"))))
-    scored = _read(rows, field, True).withColumn("score", score)
-    return scored.select(
-        "doc_id", (fold("doc_id", FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
-    )
+    scored = _read(doc_rows(docs, told or doc_id, text), field, True).withColumn("score", score)
+    if told:
+        ids = docs.select(F.col(told).cast("bigint").alias("doc_id"), (fold(doc_id, FOLDS) == 0).alias("held_out"))
+        scored = scored.join(ids, "doc_id")
+    else:
+        scored = scored.withColumn("held_out", fold("doc_id", FOLDS) == 0)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
