@@ -5,7 +5,7 @@ from functools import partial
 from itertools import permutations
 
 import pytest
-from conftest import as_dict
+from table_rows import as_dict
 from pyspark.sql import functions as F
 
 from textgraph import cooccurrence, pair_counts, pmi, read_lines, stripes, top_pair, top_partners

@@ -1,4 +1,4 @@
-from conftest import as_dict
+from table_rows import as_dict
 from pyspark.sql import functions as F
 
 from textgraph import distinct_terms, doc_freq, line_count, tokenize, vocab_positions, word_count

@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_dict
+from table_rows import as_dict
 from pyspark.sql import functions as F
 
 from textgraph import (

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import as_dict
+from table_rows import as_dict
 
 from textgraph import EGYPT_CAIRO, hourly_counts, hourly_counts_text, parse_messages, read_messages
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import as_dict
+from table_rows import as_dict
 
 from textgraph import bool_search, build_postings, documents_of, fetch_lines, lines_of, read_lines, read_lines_with_offset, write_tsv, write_tuples
 from textgraph.plans.durable import durable, shared_folder

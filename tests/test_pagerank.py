@@ -4,7 +4,7 @@ from collections import defaultdict
 from functools import partial
 
 import pytest
-from conftest import as_dict
+from table_rows import as_dict
 from pyspark.sql import functions as F
 from test_graph import graph
 

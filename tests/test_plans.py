@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_dict
+from table_rows import as_dict
 
 import __spark_entry__ as contract
 from check_oracle import compare, connect

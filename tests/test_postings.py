@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import as_dict
+from table_rows import as_dict
 from pyspark.sql import functions as F
 
 from textgraph import (

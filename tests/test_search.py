@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import as_dict
+from table_rows import as_dict
 
 from textgraph import bool_and, bool_or, bool_search, build_postings, fetch_lines
 
