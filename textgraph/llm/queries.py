@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..queries import table
 from .context_tree import context_tree_scores
 from .decontaminate import leaks
+from .divergence import source_divergence
 from .exact_dedup import exact_duplicates
 from .licenses import license_spans
 from .mixing import mix
+from .negatives import hard_negatives
 from .repeats import remove_repeats
 from .secrets import secret_spans
 from .simhash import near_duplicates
@@ -74,6 +77,84 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+),
+tok AS (SELECT row, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+found AS (SELECT lang, source, term, count(*) AS n FROM tok JOIN kept USING (lang, term) GROUP BY ALL),
+grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(f.n, 0)::HUGEINT AS n
+    FROM (SELECT DISTINCT lang, source FROM d) g JOIN kept k ON g.lang = k.lang
+    LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+),
+shares AS (
+    SELECT lang, source, term, n,
+        1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source)) AS p
+    FROM grid
+),
+whole AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q
+    FROM (SELECT lang, term, sum(n) AS n FROM grid GROUP BY lang, term)
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+groups AS (SELECT DISTINCT lang, source FROM d),
+every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT
+    FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM every
+)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings"), label=label)
+
+
+OP12_SQL = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.label = o.label AS same, o.vec_id AS other_id, list_dot_product(a.v, o.v)::BIGINT AS score
+    FROM e a JOIN e o ON a.vec_id % 100 = 0 AND o.vec_id <> a.vec_id
+),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS place FROM scored WHERE same
+    ) WHERE place <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM (
+    SELECT p.*, n.other_id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id)::INT AS rank
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+) WHERE rank <= 5
+"""
+
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
@@ -85,4 +166,6 @@ QUERIES = {
     "op8_secret_scan": (op8_secret_scan, None),
     "op9_decontaminate": (op9_decontaminate, None),
     "op10_simhash": (op10_simhash, None),
+    "op11_source_divergence": (op11_source_divergence, OP11_SQL),
+    "op12_hard_negatives": (op12_hard_negatives, OP12_SQL),
 }
