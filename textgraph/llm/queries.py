@@ -13,6 +13,7 @@ from .exact_dedup import exact_duplicates
 from .licenses import license_spans
 from .mixing import mix
 from .negatives import hard_negatives
+from .passages import remove_passages
 from .repeats import remove_repeats
 from .secrets import secret_spans
 from .simhash import near_duplicates
@@ -155,6 +156,29 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 """
 
 
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_passages(table(spark, folder, "documents")).drop("spans")
+
+
+OP13_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+windows AS (
+    SELECT row, doc_id, i, array_to_string(words[i:i + 12], ' ') AS w
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 11, 1))) AS i FROM d)
+),
+judged AS (SELECT row, i, doc_id > min(doc_id) OVER (PARTITION BY w) AS gone FROM windows),
+covered AS (SELECT row, list(DISTINCT p) AS gone FROM (SELECT row, unnest(range(i, i + 13)) AS p FROM judged WHERE gone) GROUP BY row),
+cut AS (
+    SELECT doc_id, len(words) AS n, coalesce(len(gone), 0) AS n_gone,
+        [words[p] for p in range(1, len(words) + 1) if gone IS NULL OR NOT list_contains(gone, p)] AS kept
+    FROM d LEFT JOIN covered USING (row)
+)
+SELECT doc_id, n AS n_words, n_gone AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM cut
+"""
+
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
@@ -168,4 +192,5 @@ QUERIES = {
     "op10_simhash": (op10_simhash, None),
     "op11_source_divergence": (op11_source_divergence, OP11_SQL),
     "op12_hard_negatives": (op12_hard_negatives, OP12_SQL),
+    "op13_substring_dedup": (op13_substring_dedup, OP13_SQL),
 }
