@@ -360,10 +360,11 @@ def remove_passages(
     frequent = durable(needed.groupBy("h").count().filter(F.col("count") > group).select("h", F.lit(True).alias("frequent")), "frequent")
     edge = F.struct("h", F.coalesce("frequent", F.lit(False)).alias("frequent"), "first", "last").alias("e")
     wanted = needed.join(broadcast_if_small(frequent), "h", "left").select("doc", "digest", edge).groupBy("doc", "digest").agg(F.collect_set("e").alias("edges"))
-    # The texts are read by both joins below, and shuffled once: Spark reuses the exchange. So its columns are never null.
+    # The texts are read by both joins below, and shuffled once: Spark reuses the exchange of both plans if they are
+    # alike. So both take all columns, and the keys are never null, which spares the inner join a filter.
     schema = StructType([StructField("doc_id", LongType()), *(StructField(c, t, False) for c, t in (("doc", LongType()), ("digest", LongType()), ("packed", BinaryType())))])
     texts = keyed.mapInArrow(_packed, schema)
-    fetched = texts.join(wanted, ["doc", "digest"]).select("doc", "digest", "packed", "edges").mapInArrow(_stretches(length, held_bytes), TREE_DDL)
+    fetched = texts.join(wanted, ["doc", "digest"]).mapInArrow(_stretches(length, held_bytes), TREE_DDL)
     meeting = F.when(F.col("kind") == MARK, F.xxhash64("doc", "firsts")).otherwise(F.col("prefix"))
     grouped = fetched.repartition(meeting).sortWithinPartitions("kind", "prefix", "stretch", "doc")
     marks = grouped.mapInArrow(_trees(length, rows_together), "doc bigint, digest bigint, first bigint, last bigint")
