@@ -10,7 +10,9 @@ from textgraph.llm.context_tree import context_tree_scores
 from textgraph.llm.decontaminate import leaks
 from textgraph.llm.exact_dedup import exact_duplicates
 from textgraph.llm.licenses import license_spans
+from textgraph.llm.divergence import source_divergence
 from textgraph.llm.mixing import mix
+from textgraph.llm.passages import remove_passages
 from textgraph.llm.repeats import remove_repeats
 from textgraph.llm.secrets import secret_spans
 from textgraph.llm.simhash import near_duplicates
@@ -38,8 +40,9 @@ PER_DOCUMENT = {
     "tree": lambda d: context_tree_scores(d, depth=3),
     "secrets": secret_spans,
     "simhash": near_duplicates,
+    "passages": remove_passages,
 }
-PER_MATCH = {"licenses": license_spans, "leaks": lambda d: leaks(d, _benchmark(d.sparkSession))}
+PER_MATCH = {"licenses": license_spans, "leaks": lambda d: leaks(d, _benchmark(d.sparkSession)), "divergence": source_divergence}
 
 
 @pytest.mark.parametrize("name", PER_DOCUMENT)
@@ -114,4 +117,4 @@ def test_the_mix_decides_by_row(spark, docs, tmp_path):
 
 
 def test_every_dealt_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
