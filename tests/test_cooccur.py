@@ -5,6 +5,7 @@ from functools import partial
 from itertools import permutations
 
 import pytest
+from plan_metrics import nodes
 from table_rows import as_dict
 from pyspark.sql import functions as F
 
@@ -39,6 +40,25 @@ def test_pairs_equal_brute_force_for_every_block_size(lines, block):
     assert as_dict(cooccurrence(lines(*texts), 3, block), "x", "y") == brute_pairs(texts, 3)
 
 
+@pytest.mark.parametrize("block, entries, cells", [(1, 100, 10**6), (3, 2, 5), (256, 7, 40), (256, 100_000, 1)])
+def test_stripes_are_counted_as_pairs_are(lines, monkeypatch, block, entries, cells):
+    texts = corpus(8)
+    monkeypatch.setitem(cooccur.COUNTING, "stripes", partial(cooccur._stripe_counts, entries=entries, cells=cells))
+    assert as_dict(cooccurrence(lines(*texts), 3, block, by="stripes"), "x", "y") == brute_pairs(texts, 3)
+    assert cooccurrence(lines("", "a"), 1, by="stripes").count() == 0
+
+
+def test_stripes_move_less_than_pairs(spark, lines):
+    texts = corpus(9, 3000)
+
+    def moved(by):
+        counts, _, _ = cooccur.COUNTING[by](lines(*texts), 10)
+        read = nodes(spark, lambda: counts.count(), "Exchange")
+        return sum(n["shuffle bytes written"] for n in read if "(x#" in n["what"] or "_groupingexpression#" in n["what"])
+
+    assert 0 < moved("stripes") < moved("pairs")
+
+
 def test_all_pairs_without_support(lines):
     texts = corpus(2, 20)
     assert as_dict(cooccurrence(lines(*texts), 1), "x", "y") == brute_pairs(texts, 1)

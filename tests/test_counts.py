@@ -1,7 +1,9 @@
 from table_rows import as_dict
 from pyspark.sql import functions as F
 
-from textgraph import distinct_terms, doc_freq, line_count, tokenize, vocab_positions, word_count
+import pytest
+
+from textgraph import at_positions, distinct_terms, doc_freq, line_count, part_positions, tokenize, vocab_positions, word_count
 from textgraph.functions.text import lines_in, snippet
 
 
@@ -35,14 +37,33 @@ def test_distinct_terms(lines):
 def test_vocab_positions_follow_byte_order(lines):
     counts = word_count(tokenize(lines("b Zed a zoo a é d")))
     found = as_dict(vocab_positions(counts), "position")
-    assert found == {"first": ("Zed", 1), "third_to_last": ("d", 1)}
+    assert found == {1: ("Zed", 1), -3: ("d", 1)}
 
 
 def test_vocab_positions_of_small_vocabularies(lines):
-    for text, expected in (("", set()), ("b", {"first"}), ("b a", {"first"}), ("b a c", {"first", "third_to_last"})):
+    for text, expected in (("", set()), ("b", {1}), ("b a", {1}), ("b a c", {1, -3})):
         assert {r["position"] for r in vocab_positions(word_count(tokenize(lines(text)))).collect()} == expected
 
 
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_any_position_of_an_order(spark, parts):
+    words = sorted({f"w{i * 7919 % 997}" for i in range(200)})
+    rows = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "term string, cnt bigint")
+    asked = [1, 2, 50, len(words), len(words) + 1, -1, -3, -len(words), -len(words) - 1]
+    found = as_dict(at_positions(rows, "term", asked, parts), "position")
+    assert found == {p: (words[p - 1 if p > 0 else p], (p - 1 if p > 0 else p) % len(words)) for p in asked if abs(p) <= len(words)}
+
+
+def test_positions_in_each_output_file(spark):
+    words = sorted(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(w,) for w in words], "term string")
+    files = {}
+    for r in rows.select("term", F.pmod(F.hash("term"), F.lit(4)).alias("part")).collect():
+        files.setdefault(r.part, []).append(r.term)
+    expected = {(part, p): sorted(terms)[p - 1 if p > 0 else p] for part, terms in files.items() for p in (1, -3)}
+    assert as_dict(part_positions(rows, "term", parts=4), "part", "position") == expected
+
+
 def test_lines_of_a_text(spark):
     texts = ["a\nb", "a\r\nb\rc", "", "\n", "a\n\n", "a\n"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(lines_in(F.col("t")).alias("l"))

@@ -13,13 +13,18 @@ from textgraph import (
     from_log_mass,
     init_ranks,
     iteration_metrics,
+    load_transitions,
     log_mass,
+    log_sum_exp,
     ppr,
+    ppr_logs,
     ppr_step,
     run_ppr,
+    save_transitions,
     top_k,
     top_k_per_source,
     total_mass,
+    transitions,
     write_top_k,
 )
 from textgraph.operators import pagerank
@@ -117,7 +122,7 @@ def test_snapshots_resume(spark, tmp_path):
     nodes, edges = random_graph(4)
     tables, base = graph(spark, nodes, edges), str(tmp_path / "ranks")
     run_ppr(base, *tables, [1, 3], 0, 2)
-    assert sorted(p.name for p in (tmp_path / "ranks").iterdir()) == ["iter0000", "iter0001", "iter0002"]
+    assert sorted(p.name for p in (tmp_path / "ranks").iterdir()) == ["iter0000", "iter0001", "iter0002", "manifest"]
     same(run_ppr(base, *tables, [1, 3], 2, 5), brute(set(nodes), edges, [1, 3], 5))
     same(spark.read.parquet(f"{base}/iter0003"), brute(set(nodes), edges, [1, 3], 3))
 
@@ -196,3 +201,74 @@ def test_a_second_record_is_an_error(spark):
     ):
         with pytest.raises(Exception, match="node 2 has 2 records"):
             job()
+
+
+def test_a_run_does_not_go_on_from_another(spark, tmp_path):
+    nodes, edges = random_graph(8)
+    tables, base = graph(spark, nodes, edges), str(tmp_path / "run")
+    with pytest.raises(ValueError, match="no manifest"):
+        run_ppr(base, *tables, [1, 3], 2, 3)
+    run_ppr(base, *tables, [1, 3], 0, 2)
+    with pytest.raises(ValueError, match="other sources_hash"):
+        run_ppr(base, *tables, [1, 4], 2, 3)
+    with pytest.raises(ValueError, match="other alpha"):
+        run_ppr(base, *tables, [1, 3], 2, 3, alpha=0.2)
+    with pytest.raises(ValueError, match="moves_hash"):
+        run_ppr(base, tables[0], tables[1].union(tables[1].limit(1)), [1, 3], 2, 3)
+    with pytest.raises(ValueError, match="snapshot 7"):
+        run_ppr(base, *tables, [1, 3], 7, 8)
+    (tmp_path / "run" / "iter0002" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="unfinished"):
+        run_ppr(base, *tables, [3, 1], 2, 3)
+
+
+def test_a_run_tells_its_metrics(spark, tmp_path):
+    nodes, edges = random_graph(9)
+    tables, told = graph(spark, nodes, edges), []
+    last = run_ppr(str(tmp_path / "run"), *tables, [1], 0, 2, metrics=told)
+    expected = as_dict(iteration_metrics(*tables, spark.read.parquet(str(tmp_path / "run" / "iter0001"))), "metric")
+    assert [m["iteration"] for m in told] == [1, 2]
+    assert {k: told[1][k] for k in expected if k != "active_with_mass"} == {k: v for k, v in expected.items() if k != "active_with_mass"}
+    assert told[1]["ranks"] == last.count() and told[1]["mass"] == pytest.approx(1)
+    assert told[0]["moved"] + told[0]["returned"] >= 1
+
+
+def test_a_saved_graph_is_prepared_once(spark, tmp_path, monkeypatch):
+    nodes, edges = random_graph(10)
+    tables = graph(spark, nodes, edges)
+    for salt_edges in (2, 10**6):
+        save_transitions(transitions(*tables, salt_edges), "saved_graph", 4, str(tmp_path / f"saved{salt_edges}"))
+        with monkeypatch.context() as m:
+            m.setattr(pagerank, "transitions", None)  # nothing is prepared from here on
+            saved = load_transitions(spark, "saved_graph")
+            for sources in ([1, 3], [2]):
+                same(ppr(tables[0], None, sources, 3, graph=saved), brute(set(nodes), edges, sources, 3))
+            ranks = spark.createDataFrame([(1, 1, 1.0)], "source bigint, node bigint, p double")
+            joined = pagerank._at_moves(ranks, pagerank._held(saved))._jdf.queryExecution().executedPlan().toString()
+            assert joined.count("Exchange hashpartitioning") == 1  # that of the ranks
+        spark.sql("DROP TABLE saved_graph")
+        spark.sql("DROP TABLE saved_graph_hot")
+
+
+def test_logs_equal_linear_ranks_and_go_below_them(spark):
+    nodes, edges = random_graph(11)
+    tables = graph(spark, nodes, edges)
+    logs = ppr_logs(*tables, [1, 3], 4).selectExpr("source", "node", "exp(log_p) AS p")
+    same(logs, brute(set(nodes), edges, [1, 3], 4))
+    chain = [(i, i + 1) for i in range(25)]
+    tables = graph(spark, range(26), chain)
+    alpha = 1 - 2.0**-50
+    linear = as_dict(ppr(*tables, [0], 24, alpha=alpha), "source", "node")
+    found = as_dict(ppr_logs(*tables, [0], 24, alpha=alpha), "source", "node")
+    assert linear[0, 24] == 0 and found[0, 24] == pytest.approx(-50 * 24 * math.log(2), rel=1e-12)
+    assert found[0, 0] == pytest.approx(0, abs=1e-12)
+
+
+def test_log_sum_exp(spark):
+    rows = [(1, -2000.0), (1, -2000.0), (1, -5000.0), (2, 800.0), (2, 799.0), (3, float("-inf")), (3, None), (4, 0.0)]
+    found = as_dict(log_sum_exp(spark.createDataFrame(rows, "k int, l double"), ["k"], "l"), "k")
+    assert found == {
+        1: pytest.approx(-2000 + math.log(2)),
+        2: pytest.approx(800 + math.log1p(math.exp(-1))),
+        4: 0.0,
+    }

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,6 +22,8 @@ MIN_COUNT = 10
 BLOCK = 256
 # Partners held by one stripe row.
 STRIPE_ENTRIES = 100_000
+# Cells of a product of line blocks that a task adds up before it passes the partial stripes on.
+CELLS = 4_000_000
 
 
 def _token_lines(lines: DataFrame) -> DataFrame:
@@ -53,8 +58,9 @@ def _blocks(known: DataFrame, block: int) -> DataFrame:
     return alone.unionByName(met.filter(F.col("n") == 2).select("l", "r"))
 
 
-def _pair_counts(lines: DataFrame, min_count: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``<x, y, n>`` with x < y as dictionary ids, the dictionary, and the written lines.
+def _incidence(lines: DataFrame, min_count: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``<l, r, w>``, the blocks of words to be paired and on how many lines they stand so, the dictionary, and the
+    written lines.
 
     A word on fewer than ``min_count`` lines cannot be part of a frequent pair, so only the dictionary's words
     are paired. Equal blocks of words (copies of a line, above all) are counted before they are paired.
@@ -64,7 +70,12 @@ def _pair_counts(lines: DataFrame, min_count: int, block: int = BLOCK) -> tuple[
     tokens = written.select("id", blocks.alias("blocks"), F.explode("terms").alias("term"))
     words = _dictionary(tokens, min_count)
     known = lookup_join(tokens, words, "term", "df").select("id", "blocks", "word")
-    counted = _blocks(known, block).groupBy("l", "r").agg(F.count("*").alias("w"))
+    return _blocks(known, block).groupBy("l", "r").agg(F.count("*").alias("w")), words, written
+
+
+def _pair_counts(lines: DataFrame, min_count: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``<x, y, n>`` with x < y as dictionary ids, the dictionary, and the written lines; every pair is a row once a line."""
+    counted, words, written = _incidence(lines, min_count, block)
     lefts = counted.select("w", "l", "r", F.posexplode("l").alias("i", "a"))
     others = F.when(F.col("r").isNull(), F.slice("l", F.col("i") + 2, F.size("l"))).otherwise(F.col("r"))
     pairs = lefts.select("w", "a", F.explode(others).alias("b"))
@@ -72,6 +83,129 @@ def _pair_counts(lines: DataFrame, min_count: int, block: int = BLOCK) -> tuple[
     return counts.filter(F.col("n") >= min_count), words, written
 
 
+STRIPE_DDL = "x bigint, shard int, ys array<bigint>, ns array<bigint>"
+
+
+def _stripe_rows(x: np.ndarray, shard: np.ndarray, y: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """One row for each (x, shard) of cells that come sorted by x, shard, y."""
+    first = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (shard[1:] != shard[:-1])]) if len(x) else np.zeros(0, np.int64)
+    offsets = pa.array(np.r_[first, len(x)].astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(c.astype(np.int64))) for c in (y, n)]
+    columns = [pa.array(x[first].astype(np.int64)), pa.array(shard[first].astype(np.int32)), *lists]
+    return pa.RecordBatch.from_arrays(columns, names=["x", "shard", "ys", "ns"])
+
+
+def _word_lists(column: pa.ListArray) -> list[np.ndarray | None]:
+    ends = column.offsets.to_numpy()
+    words = column.values.to_numpy()
+    return [words[a:b] if valid else None for a, b, valid in zip(ends[:-1], ends[1:], column.is_valid().to_pylist())]
+
+
+@lru_cache(maxsize=BLOCK + 1)
+def _above(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every place of a block with every later one."""
+    return np.triu_indices(size, 1)
+
+
+def _partial_stripes(shards: int, cells: int):
+    """The product of a task's line blocks with themselves, as partial stripes of the smaller word of each pair.
+
+    The cells of many blocks are added up before anything leaves the task, so a pair that many lines hold is one
+    entry of a stripe here, never a row of its own.
+    """
+
+    def product(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        values = np.unique(np.concatenate([v for l, r, _ in parts for v in (l, r) if v is not None]))
+        size = len(values)
+        codes, weights = [], []
+        for l, r, w in parts:
+            a = np.searchsorted(values, l)
+            if r is None:
+                i, j = _above(len(a))  # blocks are sorted
+                low, high = a[i], a[j]
+            else:
+                b = np.searchsorted(values, r)
+                both = np.repeat(a, len(b)), np.tile(b, len(a))
+                low, high = np.minimum(*both), np.maximum(*both)
+            codes.append(low * size + high)
+            weights.append(np.full(len(low), w, np.int64))
+        code, weight = np.concatenate(codes), np.concatenate(weights)
+        order = np.argsort(code, kind="stable")
+        code, weight = code[order], weight[order]
+        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        n, (x, y) = np.add.reduceat(weight, first), np.divmod(code[first], size)
+        x, y = values[x], values[y]
+        shard = y % shards
+        order = np.lexsort((y, shard, x))
+        yield _stripe_rows(x[order], shard[order], y[order], n[order])
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            for l, r, w in zip(_word_lists(batch["l"]), _word_lists(batch["r"]), batch["w"].to_pylist()):
+                parts.append((l, r, w))
+                held += len(l) * (len(l) - 1) // 2 if r is None else len(l) * len(r)
+                if held >= cells:
+                    yield from product(parts)
+                    parts, held = [], 0
+        if parts:
+            yield from product(parts)
+
+    return multiply
+
+
+def _added(min_count: int):
+    """Partial stripes come sorted by word and shard; those of one key are added up, and cells of ``min_count`` stay."""
+
+    def flat(rows: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        sizes = rows["ys"].value_lengths().to_numpy()
+        x, shard = (np.repeat(rows[c].to_numpy(), sizes) for c in ("x", "shard"))
+        return x, shard, rows["ys"].flatten().to_numpy(), rows["ns"].flatten().to_numpy()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None  # the sum of the last key so far
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells = flat(batch)
+            if before is not None:
+                cells = tuple(np.r_[b, c] for b, c in zip(before, cells))
+            x, shard, y, n = cells
+            order = np.lexsort((y, shard, x))
+            x, shard, y, n = (c[order] for c in (x, shard, y, n))
+            first = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (shard[1:] != shard[:-1]) | (y[1:] != y[:-1])])
+            x, shard, y, n = x[first], shard[first], y[first], np.add.reduceat(n, first)
+            last = (x == batch["x"][batch.num_rows - 1].as_py()) & (shard == batch["shard"][batch.num_rows - 1].as_py())
+            before = tuple(c[last] for c in (x, shard, y, n))
+            told = ~last & (n >= min_count)
+            yield _stripe_rows(x[told], shard[told], y[told], n[told])
+        if before is not None:
+            told = before[3] >= min_count
+            yield _stripe_rows(*(c[told] for c in before))
+
+    return add
+
+
+def _stripe_counts(
+    lines: DataFrame, min_count: int, block: int = BLOCK, entries: int = STRIPE_ENTRIES, cells: int = CELLS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``<x, y, n>`` as :func:`_pair_counts`, counted by stripes: what moves is a word's partners and counts as two arrays.
+
+    The lines by words are a sparse matrix; its product with itself is taken block by block where the lines are, and
+    the partial stripes of a word are added up in one pass over a sorted stream. A stripe has ``entries`` partners or
+    so at most: a larger vocabulary is dealt to shards of partners.
+    """
+    counted, words, written = _incidence(lines, min_count, block)
+    shards = -(-words.count() // entries) or 1
+    partial = counted.mapInArrow(_partial_stripes(shards, cells), STRIPE_DDL)
+    added = partial.repartition("x", "shard").sortWithinPartitions("x", "shard").mapInArrow(_added(min_count), STRIPE_DDL)
+    cell = F.explode(F.arrays_zip("ys", "ns")).alias("c")
+    return added.select("x", cell).select("x", F.col("c.ys").alias("y"), F.col("c.ns").alias("n")), words, written
+
+
+COUNTING = {"pairs": _pair_counts, "stripes": _stripe_counts}
+
+
 def _with_terms(counts: DataFrame, words: DataFrame) -> DataFrame:
     """``<a, b, df_a, df_b, n>`` of id pairs; a word with very many partners is dealt over several tasks."""
     pairs = counts = durable(counts, "counts")
@@ -90,12 +224,13 @@ def _both_orders(pairs: DataFrame, *others: str) -> DataFrame:
     return pairs.select(F.explode(orders).alias("o"), *others).select("o.x", "o.y", *others)
 
 
-def cooccurrence(lines: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK) -> DataFrame:
+def cooccurrence(lines: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK, by: str = "pairs") -> DataFrame:
     """``<x, y, n>``: ordered pairs of different words and the number of lines, ``min_count`` or more, with both.
 
-    Each row of ``lines`` is a line, whether it has an id or not; columns besides ``line`` are not read.
+    Each row of ``lines`` is a line, whether it has an id or not; columns besides ``line`` are not read. ``by`` says
+    what is counted and moved, single ``pairs`` or ``stripes`` of a word's partners; the result is the same.
     """
-    counts, words, _ = _pair_counts(lines, min_count, block)
+    counts, words, _ = COUNTING[by](lines, min_count, block)
     return _both_orders(_with_terms(counts, words), "n")
 
 

@@ -8,18 +8,28 @@ views of it, cut into blocks of ``span`` docids: block b of a term holds its doc
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..plans.durable import durable
+from ..plans.sizing import broadcast_if_small
 from ..plans.skew import lookup_join
 from .counts import tokenize
 
 SPAN = 1 << 16
 
 
+@dataclass(frozen=True)
+class BlockIndex:
+    """``postings<term, docid, tf, block>``, of which a read of few blocks reads nothing else, and ``terms<term, df>``."""
+
+    postings: DataFrame
+    terms: DataFrame | None
+
+
 def build_postings(lines: DataFrame) -> DataFrame:
     """``<term, docid, tf>``: how often each document holds each of its blank-separated terms."""
     return tokenize(lines.select("docid", "line")).groupBy("term", "docid").agg(F.count("*").alias("tf"))
@@ -30,33 +40,38 @@ def term_df(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def _block(span: int) -> Column:
+def block_of(span: int) -> Column:
     return F.expr(f"docid div {span}")
 
 
-def _with_df(blocks: DataFrame) -> DataFrame:
-    """``blocks`` with ``df``, the number of documents of the term, from the ``block_df`` of all its blocks."""
-    sums = blocks.groupBy("term").agg(F.sum("block_df").alias("df"), F.count("*").alias("blocks"))
+def _with_df(blocks: DataFrame, counts: DataFrame) -> DataFrame:
+    """``blocks`` with ``df``, the documents of the term, from ``counts<term, block, block_df>`` of all its blocks."""
+    sums = counts.groupBy("term").agg(F.sum("block_df").alias("df"), F.count("*").alias("blocks"))
     return lookup_join(blocks, durable(sums, "df"), "term", "blocks").drop("blocks")
 
 
+def _block_counts(postings: DataFrame, span: int) -> DataFrame:
+    return postings.groupBy("term", block_of(span).alias("block")).agg(F.count("*").alias("block_df"))
+
+
 def postings_lists(postings: DataFrame, span: int = SPAN) -> DataFrame:
     """``<term, block, df, block_df, postings ARRAY<docid, tf>>``, docids ascending.
 
     ``df`` is the number of documents of the term, ``block_df`` of those in the block. The blocks of a term in block
-    order are its whole list.
+    order are its whole list. The long table is written once; ``df`` is counted from it before any list is built.
     """
-    blocks = postings.groupBy("term", _block(span).alias("block")).agg(
+    postings = durable(postings.select("term", "docid", "tf"), "postings")
+    lists = postings.groupBy("term", block_of(span).alias("block")).agg(
         F.count("*").alias("block_df"),
         F.array_sort(F.collect_list(F.struct("docid", "tf"))).alias("postings"),
     )
-    return _with_df(durable(blocks, "lists")).select("term", "block", "df", "block_df", "postings")
+    return _with_df(lists, _block_counts(postings, span)).select("term", "block", "df", "block_df", "postings")
 
 
 def postings_map(postings: DataFrame, span: int = SPAN) -> DataFrame:
     """``<term, block, cells MAP<docid, tf>>``: the wide-row view."""
     cells = F.map_from_entries(F.collect_list(F.struct("docid", "tf")))
-    return postings.groupBy("term", _block(span).alias("block")).agg(cells.alias("cells"))
+    return postings.groupBy("term", block_of(span).alias("block")).agg(cells.alias("cells"))
 
 
 def forward_index(postings: DataFrame) -> DataFrame:
@@ -92,7 +107,7 @@ def encode_gaps(postings: DataFrame, span: int = SPAN, fan: int = SPAN) -> DataF
     a block is ordered, not the postings. As they are read more than once, they are written first.
     """
     postings = durable(postings, "postings")
-    blocked = postings.withColumn("block", _block(span))
+    blocked = postings.withColumn("block", block_of(span))
     highest = (postings.agg(F.max("docid")).first()[0] or 0) // span
     ends = blocked.groupBy("term", "block").agg(F.max("docid").alias("last"))
     starts = _previous_ends(ends, highest, fan)
@@ -106,11 +121,13 @@ def encode_gaps(postings: DataFrame, span: int = SPAN, fan: int = SPAN) -> DataF
 
 def gap_lists(encoded: DataFrame) -> DataFrame:
     """``<term, block, prev, df, block_df, gaps ARRAY<gap, tf>>``: the gaps of a block as one list, and the term's df."""
+    encoded = durable(encoded, "gaps")
     entries = F.array_sort(F.collect_list(F.struct("pos", "gap", "tf")))
     lists = encoded.groupBy("term", "block", "prev").agg(F.count("*").alias("block_df"), entries.alias("entries"))
     gaps = F.transform("entries", lambda e: F.struct(e["gap"].alias("gap"), e["tf"].alias("tf")))
-    blocks = durable(lists.select("term", "block", "prev", "block_df", gaps.alias("gaps")), "lists")
-    return _with_df(blocks).select("term", "block", "prev", "df", "block_df", "gaps")
+    counts = encoded.groupBy("term", "block").agg(F.count("*").alias("block_df"))
+    lists = lists.select("term", "block", "prev", "block_df", gaps.alias("gaps"))
+    return _with_df(lists, counts).select("term", "block", "prev", "df", "block_df", "gaps")
 
 
 def decode_gaps(encoded: DataFrame) -> DataFrame:
@@ -125,6 +142,23 @@ def lookup_postings(postings: DataFrame, terms: Sequence[str]) -> DataFrame:
     return postings.filter(F.col("term").isin(list(terms)))
 
 
+def lookup_bucket(buckets: int) -> Column:
+    """The folder of a term in a lookup table."""
+    return F.pmod(F.xxhash64("term"), F.lit(buckets))
+
+
+def lookup_terms(table: DataFrame, terms: DataFrame, buckets: int) -> DataFrame:
+    """The postings of a whole table of terms, each told once, from one saved by ``save_lookup`` with ``buckets``.
+
+    The terms never become a literal list. While they are small enough to be broadcast, Spark prunes the folders that
+    hold none of them before it reads any; a larger batch touches every folder, and joins.
+    """
+    asked = durable(terms.select("term").distinct().withColumn("bucket", lookup_bucket(buckets)), "asked")
+    # Told as a condition, for Spark prunes by a side that has one.
+    found = table.join(broadcast_if_small(asked.filter(F.col("bucket") >= 0)), ["bucket", "term"])
+    return found.select("term", "docid", "tf")
+
+
 def tf_histogram(postings: DataFrame, terms: Sequence[str]) -> DataFrame:
     """``<term, tf, docs>``: how many documents hold a term how often."""
     return lookup_postings(postings, terms).groupBy("term", "tf").agg(F.count("*").alias("docs"))

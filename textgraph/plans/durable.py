@@ -34,8 +34,13 @@ def _scratch(spark: SparkSession, path: str) -> str:
     return path
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, to be deleted when the application ends."""
+    return _scratch(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` now and go on from the written rows."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(_scratch(df.sparkSession, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,3 +29,17 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     ``df`` is read twice, so pass a written or otherwise cheap one.
     """
     return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df``, dealt out evenly when it is a small table that would leave cores without work.
+
+    A file of a few row groups is read by as few tasks, however many cores there are. Where the scan has less to read
+    than one full split for each core, moving its rows costs next to nothing; a larger scan is left as it is. The
+    sizes are those that the plan tells; no job is run.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df

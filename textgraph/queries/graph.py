@@ -1,8 +1,8 @@
 """Graph preparation and personalized PageRank over the graph of parts and suppliers.
 
 A part's node is twice its key, a supplier's twice its key plus one. Each row of ``lineitem`` is an edge from
-part to supplier and one back, repeated ones kept. In the thinned graph large parts have no record, so edges to
-them lead nowhere, and somewhat smaller ones have no out-edges.
+part to supplier and one back, repeated ones kept. The trade graph goes from customers over orders and parts to
+suppliers, who have no record; orders without lines have no out-edges.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from .. import (
     graph_stats,
     init_ranks,
     iteration_metrics,
-    log_mass,
     missing_nodes,
     parse_adjacency,
     ppr,
+    ppr_logs,
     ppr_step,
     range_partition,
     top_k,
@@ -224,7 +224,7 @@ QUERIES = {
         _ppr_sql(TRADE_SQL, 3, TRADERS) + "SELECT source, node, round(p, 10) AS p FROM r3",
     ),
     "ppr_log_mass": (
-        lambda spark, folder: log_mass(ppr(*_whole(spark, folder), SOURCES, 2)).withColumn("log_p", F.round("log_p", 8)),
+        lambda spark, folder: ppr_logs(*_whole(spark, folder), SOURCES, 2).withColumn("log_p", F.round("log_p", 8)),
         _ppr_sql(WHOLE_SQL, 2) + "SELECT source, node, round(ln(p), 8) AS log_p FROM r2",
     ),
     "ppr_topk_single": (

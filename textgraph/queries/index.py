@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +16,22 @@ from .. import (
     fetch_lines,
     forward_index,
     gap_lists,
+    load_block_index,
     lookup_postings,
+    lookup_terms,
     postings_lists,
-    postings_map,
+    save_block_index,
+    save_collection,
+    save_lookup,
+    save_wide_table,
+    search_index,
     term_df,
     tf_histogram,
     with_shard,
 )
-from ..plans.durable import shared_folder
+from ..operators.counts import tokenize
+from ..plans.durable import scratch_path
+from ..plans.sizing import dealt
 from ..sinks.index import write_index
 from . import table
 
@@ -33,6 +39,7 @@ from . import table
 SPAN = 256
 FAN = 8
 SHARDS = 4
+FOLDERS = 16
 TERMS = ["the", "MIT", "License.", "fortune"]
 SEARCHES = {
     "both": "the MIT AND",
@@ -71,7 +78,7 @@ TERMS_SQL = ", ".join(f"'{t}'" for t in TERMS)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return documents_of(table(spark, folder, "documents"), "doc_id", "text")
+    return dealt(documents_of(table(spark, folder, "documents"), "doc_id", "text"))
 
 
 def _postings(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,8 +92,11 @@ def index_lists(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def index_wide_map(spark: SparkSession, folder: str) -> DataFrame:
-    wide = postings_map(_postings(spark, folder), SPAN)
-    return wide.select("term", "block", F.explode("cells").alias("docid", "tf"))
+    """The wide-row table saved in the catalog, bucketed by term, and read back."""
+    path = scratch_path(spark, "wide")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    save_wide_table(_postings(spark, folder), name, SHARDS, SPAN, path)
+    return spark.table(name).select("term", "block", F.explode("cells").alias("docid", "tf"))
 
 
 def index_forward(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,13 +119,32 @@ def gap_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def index_written_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The index written once, term-sorted, and read by term: how often documents hold a few terms."""
-    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "index")
     write_index(_postings(spark, folder), path, SHARDS)
     return tf_histogram(spark.read.parquet(path), TERMS)
 
 
+def index_batch_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """All words of the benchmark's items looked up as one batch in an index saved for lookups."""
+    path = scratch_path(spark, "lookup")
+    save_lookup(_postings(spark, folder), path, FOLDERS, FOLDERS)
+    items = documents_of(table(spark, folder, "benchmark"), "item_id", "text")
+    saved = spark.read.schema("term string, docid bigint, tf bigint, bucket bigint").parquet(path)
+    return lookup_terms(saved, tokenize(items), FOLDERS)
+
+
+def _searched(spark: SparkSession, folder: str) -> DataFrame:
+    """The searches over a saved block index, rarest terms first."""
+    path = scratch_path(spark, "blocks")
+    save_block_index(_postings(spark, folder), path, SHARDS, SPAN)
+    return search_index(load_block_index(spark, path), SEARCHES)
+
+
 def _found(spark: SparkSession, folder: str, width: str) -> DataFrame:
-    return fetch_lines(bool_search(_postings(spark, folder), SEARCHES), _documents(spark, folder), width)
+    """Hits with their texts, from a collection clustered by docid."""
+    path = scratch_path(spark, "collection")
+    save_collection(_documents(spark, folder), path, FOLDERS)
+    return fetch_lines(_searched(spark, folder), spark.read.parquet(path), width)
 
 
 QUERIES = {
@@ -152,6 +181,12 @@ QUERIES = {
         index_written_lookup,
         f"WITH {POSTINGS_SQL} SELECT term, tf, count(*) AS docs FROM postings WHERE term IN ({TERMS_SQL}) GROUP BY 1, 2",
     ),
+    "index_batch_lookup": (
+        index_batch_lookup,
+        rf"""WITH {POSTINGS_SQL}
+        SELECT term, docid, tf FROM postings
+        WHERE term IN (SELECT unnest(string_split_regex(text, '\s+')) FROM benchmark) AND term <> ''""",
+    ),
     "postings_gaps": (
         lambda spark, folder: _encoded(spark, folder).drop("prev"),
         f"""WITH {POSTINGS_SQL}
@@ -185,6 +220,10 @@ QUERIES = {
         f"WITH {HITS_SQL} SELECT docid FROM hits WHERE query_id = 'either'",
     ),
     "bool_search": (
+        lambda spark, folder: _searched(spark, folder).orderBy("query_id", "docid"),
+        f"WITH {HITS_SQL} SELECT query_id, docid FROM hits",
+    ),
+    "bool_search_scan": (
         lambda spark, folder: bool_search(_postings(spark, folder), SEARCHES),
         f"WITH {HITS_SQL} SELECT query_id, docid FROM hits",
     ),

@@ -21,8 +21,11 @@ from .. import (
     vocab_positions,
     word_count,
 )
+from ..plans.sizing import dealt
 from . import table
 
+# Places of the sorted vocabulary, from either end.
+PLACES = [1, -3, 2, 100, 5000, -1, -2000]
 ANCHORS = ["the", "de", "License.", "und"]
 
 LINES_SQL = r"""
@@ -53,6 +56,20 @@ scored AS (
   FROM pairs JOIN df dx ON dx.term = x JOIN df dy ON dy.term = y
 )"""
 
+# Each pair once, of the words that are frequent enough by themselves.
+HALF_SQL = LINE_TERMS_SQL + """,
+df AS MATERIALIZED (SELECT term, count(*) AS df, row_number() OVER (ORDER BY term) AS id FROM tok GROUP BY term HAVING count(*) >= 10),
+numbered AS MATERIALIZED (SELECT docid, ln, id FROM tok JOIN df USING (term)),
+once AS (
+  SELECT a.id AS a, b.id AS b, count(*) AS n
+  FROM numbered a JOIN numbered b ON a.docid = b.docid AND a.ln = b.ln AND a.id < b.id
+  GROUP BY 1, 2 HAVING count(*) >= 10
+),
+scored AS (
+  SELECT p.term AS x, q.term AS y, n, log10(n::DOUBLE * (SELECT count(*) FROM lines) / (p.df::DOUBLE * q.df::DOUBLE)) AS pmi
+  FROM once JOIN df p ON p.id = once.a JOIN df q ON q.id = once.b
+)"""
+
 ALPHA_COUNTS_SQL = """
 counts AS (
   SELECT term, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS term FROM documents) GROUP BY term
@@ -66,11 +83,11 @@ counts AS (
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    return documents_of(table(spark, folder, "documents"), "doc_id", "text")
+    return dealt(documents_of(table(spark, folder, "documents"), "doc_id", "text"))
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return lines_of(table(spark, folder, "documents"), "doc_id", "text")
+    return lines_of(_texts(spark, folder), "docid", "line")
 
 
 def _counts(spark: SparkSession, folder: str, mode: str) -> DataFrame:
@@ -82,7 +99,7 @@ def _pmi(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cooccur_stripes(spark: SparkSession, folder: str) -> DataFrame:
-    found = stripes(cooccurrence(_lines(spark, folder)))
+    found = stripes(cooccurrence(_lines(spark, folder), by="stripes"))
     return found.select("x", F.explode("stripe").alias("y", "n"))
 
 
@@ -108,13 +125,13 @@ QUERIES = {
         f"WITH {WS_COUNTS_SQL} SELECT count(*) AS terms FROM counts",
     ),
     "vocab_positions": (
-        lambda spark, folder: vocab_positions(_counts(spark, folder, "alpha")),
+        lambda spark, folder: vocab_positions(_counts(spark, folder, "alpha"), PLACES),
         f"""WITH {ALPHA_COUNTS_SQL},
         placed AS (
           SELECT term, cnt, row_number() OVER (ORDER BY term) AS up, row_number() OVER (ORDER BY term DESC) AS down FROM counts
         )
-        SELECT 'first' AS position, term, cnt FROM placed WHERE up = 1
-        UNION ALL SELECT 'third_to_last', term, cnt FROM placed WHERE down = 3""",
+        SELECT up AS position, term, cnt FROM placed WHERE up IN ({", ".join(str(p) for p in PLACES if p > 0)})
+        UNION ALL SELECT -down, term, cnt FROM placed WHERE -down IN ({", ".join(str(p) for p in PLACES if p < 0)})""",
     ),
     "cooccur_pairs": (
         lambda spark, folder: cooccurrence(_lines(spark, folder)),
@@ -122,8 +139,8 @@ QUERIES = {
     ),
     "cooccur_stripes": (cooccur_stripes, f"WITH {PAIRS_SQL} SELECT x, y, n FROM pairs"),
     "pmi_pairs": (
-        lambda spark, folder: _pmi(spark, folder).withColumn("pmi", F.round("pmi", 8)),
-        f"WITH {PAIRS_SQL} SELECT x, y, n, round(pmi, 8) AS pmi FROM scored",
+        lambda spark, folder: _pmi(spark, folder).filter("x < y").withColumn("pmi", F.round("pmi", 8)),
+        f"WITH {HALF_SQL} SELECT x, y, n, round(pmi, 8) AS pmi FROM scored",
     ),
     "pmi_pair_counts": (
         lambda spark, folder: pair_counts(_pmi(spark, folder)),
