@@ -14,6 +14,9 @@ from textgraph.session import local_session
 def spark():
     session = local_session(4, memory="6g")
     session.sparkContext.setLogLevel("ERROR")
+    # Tables of a few rows run faster than their code compiles.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()
 
