@@ -35,7 +35,7 @@ def edge_docs(docs):
             (None, "no id", None),
         ]
     )
-    clashing = "size score kept block h recipe spans print key chance bytes gram word n value held_out toxic rank".split()
+    clashing = "size score kept block h recipe spans print key chance bytes gram word n value held_out toxic rank row row_file row_at __row __file __at __number _metadata group place".split()
     for name in clashing:
         frame = frame.selectExpr("*", f"'x' AS {name}")
     return frame
