@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -82,6 +83,88 @@ def test_literals_reach_sensitive_names():
     assert [text[a:b] for a, b, _ in literal_spans(text)] == ["q8Zk2LmP0x7RtY5w"]
 
 
+S, LONG = "x9KqLm28Zr71Pw", "aB3" * 1900
+LEXED = [
+    (f'db_pwd = "{LONG}"', [LONG]),
+    (f"db_pwd={LONG} rest", [LONG]),
+    (f'db_pwd          = "{S}"', [S]),
+    (f'dbPwd: str = "{S}"', [S]),
+    (f'const authCredential: string = "{S}"', [S]),
+    (f'let pwd: Map<string, number> = "{S}"', [S]),
+    (f'String dbPwd = b"{S}";', [S]),
+    (f'a = db_pwd = "{S}"', [S]),
+    (f'db_pwd = (\n    "{S}"\n)', [S]),
+    (f'db_pwd = \\\n  "{S}"', [S]),
+    (f'db_pwd = """{S}\nabc"""', [S + "\nabc"]),
+    (f"<db_pwd kind='a'> {S} </db_pwd>", [S]),
+    (f'<add key="db_pwd" value="{S}"/>', [S]),
+    (f"<key>db_pwd</key>\n<string>{S}</string>", [S]),
+    ('db_pwd = "x9KqLm28\\"Zr71Pw"', ['x9KqLm28\\"Zr71Pw']),
+    (f'db_pwd = k\nk = "{S}"', [S]),
+    (f'k = "{S}"\nm = k\ndb_pwd = m', [S]),
+    (f'a = b\nb = a\na = "{S}"\ndb_pwd = b', [S]),
+    (f'{{"a": {{"db_pwd": "{S}", "x": "{S}"}}}}', [S]),
+    (f"'dbPassphrase' => '{S}'", [S]),
+    (f"pwd := `{S}`", [S]),
+    (f"db_pwd: {S}\nother: {S}", [S]),
+    (f"It's here: db_pwd = '{S}' and it's over", [S]),
+    (f'auth_pwds = ["{S}",\n "{S}1"]', [S, S + "1"]),
+    (f'db_pwd = decrypt("{S}")', [S]),
+    (f"export DB_PWD={S} other={S}", [S]),
+    (f'x = "{S}"', []),
+    (f'db_pwd == "{S}"', []),
+    ("db_pwd =", []),
+    ("= = pwd : = : pwd ( [ {", []),
+]
+
+
+@pytest.mark.parametrize("text, found", LEXED)
+def test_literals_of_assignments(text, found):
+    for before, after in (("", ""), ("Some prose's words, a: b\n", "\nand more: of it's kind")):
+        whole = before + text + after
+        assert [whole[a:b] for a, b, _ in literal_spans(whole)] == found
+
+
+def test_long_odd_texts_are_lexed_in_time():
+    for odd in ('"', "'" * 3, "pwd = (", "pwd : ", "<a>", "a = ", " " * 50, "\\", "`", "pwd.", 'key="a', "pwd: a "):
+        start = time.perf_counter()
+        literal_spans("pwd " + odd * (100_000 // len(odd)))
+        assert time.perf_counter() - start < 20
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab0_pwd=:\"'`\\ \n()[]{}<>/,+.secretokn", max_size=60))
+def test_any_text_is_lexed(text):
+    spans = literal_spans("pwd=1 " + text)
+    assert spans == sorted(set(spans)) and all(0 <= a < b <= len(text) + 6 for a, b, _ in spans)
+
+
+def plain_base(text):
+    """The contract's patterns, tried at each place in turn."""
+    out = []
+    for kind, pattern, least in (
+        ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6),
+        ("access", r"(AKIA)([A-Z0-9]+)", 16),
+        ("hex", r"()([0-9a-f]+)", 24),
+    ):
+        at, compiled = 0, re.compile(pattern)
+        while at < len(text):
+            m = compiled.match(text, at)
+            if m and len(m[2]) >= least:
+                out.append((m.start(), m.end(), kind))
+            at = m.end() if m and m.end() > at else at + 1
+    return sorted(out, key=lambda s: (s[0], ("assign", "access", "hex").index(s[2])))
+
+
+BITS = ["password", "Token", "api_key", "=", ":", " ", '"', "abc", "abcdef12", "AKIA", "ABCD0123EFGH4567", "0123456789abcdef", "é", "-", "secret"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(BITS), max_size=14).map("".join))
+def test_base_spans_are_those_of_the_patterns(text):
+    assert base_spans(text) == plain_base(text)
+
+
 def test_secret_spans(docs):
     text = "é key='Zk29LmPq08xRtY5wBv' password=hunter2x"
     row = secret_spans(docs([(1, text)])).first()

@@ -131,18 +131,12 @@ class Matcher:
         return [(self.items[k][0], d, *placed(text, folded, a, b)) for k, (d, a, b) in sorted(best.items())]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded size, one at a time."""
-    items = durable(
-        benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .filter(F.col("item_id").isNotNull())
-        .distinct(),
-        "items",
-    )
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-chars // block_chars)
-    for b in range(blocks):
-        yield [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).sort("item_id", "text").collect()]
+def _items(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> tuple[DataFrame, int]:
+    """``<item_id, text, block>``, each different item once, and the number of blocks, of bounded size each."""
+    named = benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    items = durable(named.distinct(), "items")
+    blocks = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars)
+    return items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))), blocks
 
 
 def leaks(
@@ -151,6 +145,7 @@ def leaks(
     doc_id: str = "doc_id",
     text: str = "text",
     item_id: str = "item_id",
+    item_text: str = "text",
     chars_per_edit: int = CHARS_PER_EDIT,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
@@ -159,15 +154,14 @@ def leaks(
     Both sides are compared with A-Z lower-cased and runs of blanks as one space. ``start`` and ``end`` (exclusive)
     are code points of the document's text; of an item's occurrences in a document the one of least distance, then
     the first, is told. Items of fewer than ``chars_per_edit`` characters must occur unchanged. Null and blank
-    texts hold nothing, null and blank items are not looked for, an item given twice is told once for each
-    different text. The benchmark goes to the executors block by block, so its size is bounded whatever it is.
+    texts hold nothing, null and blank items are not looked for, an item without an id is told with a null one, an
+    item given twice once for each different text. The benchmark goes to the executors block by block, and of several
+    blocks the matches of one are written before the next is fetched, so what the driver holds is bounded.
     """
     rows = doc_rows(docs, doc_id, text)
     schema = "doc_id bigint, item_id bigint, distance bigint, start bigint, end bigint"
 
-    def finder(items: list[tuple[int, str]]):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-
+    def finder(shared):
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value, chars_per_edit)
             for batch in batches:
@@ -184,6 +178,13 @@ def leaks(
         return find
 
     found = docs.sparkSession.createDataFrame([], schema)
-    for items in _blocks(benchmark, item_id, text="text", block_chars=block_chars):
-        found = found.unionByName(rows.mapInArrow(finder(items), schema))
+    items, blocks = _items(benchmark, item_id, item_text, block_chars)
+    for b in range(blocks):
+        block = [tuple(r) for r in items.filter(F.col("block") == b).select("item_id", "text").sort("item_id", "text").collect()]
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+        matches = rows.mapInArrow(finder(shared), schema)
+        if blocks > 1:  # done before the next block is fetched, so that the driver holds one at a time
+            matches = durable(matches, "leaks")
+            shared.destroy()
+        found = found.unionByName(matches)
     return found

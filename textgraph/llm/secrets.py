@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and assignment-aware lexing of names and literals.
 
-The lexer reads assignments of source and configuration syntax (``name = "literal"``, ``name: literal``,
-``"name" => 'literal'``, ``name := other``) in the order of the text. A name assigned from another name takes over
-what that name holds, so a literal is scored by the most sensitive name that it reaches.
+A text is cut into tokens of source and configuration syntax: names, literals with escapes (quoted, triple-quoted or
+bare), assignment signs and brackets. A parser takes name-literal pairs from them (``name = "literal"``,
+``"name": 'literal'``, ``name: type = "literal"``, ``a = b = "literal"``, literals in brackets, calls and on following
+lines, elements and attributes of markup). Constants are propagated to a fixed point: a name assigned from another
+name, before or after, stands for what that holds, and a literal is scored by the most sensitive name that reaches it.
 """
 
 from __future__ import annotations
@@ -25,12 +27,24 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGNED = 6
 
-# A name, an assignment sign, and a quoted literal or a bare word.
-ASSIGNMENT = re.compile(
-    r"""(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,63})["']?[\x20\t]{0,8}(?::=|=>|[:=](?!=))[\x20\t]{0,8}"""
-    r"""(?:"(?P<double>[^"\n]{1,4096})"|'(?P<single>[^'\n]{1,4096})'|(?P<bare>[^\s"',;(){}\[\]]{1,4096}))"""
+NAME = r"[A-Za-z_$][\w$]*(?:[.\-][\w$]+)*"
+TOKEN = re.compile(
+    r"""(?<![\w"'])(?P<prefix>[bBrRuUfF]{0,2})(?:"{3}(?P<triple>(?:\\.|(?!"{3}).)*+)"{3}|'{3}(?P<triple2>(?:\\.|(?!'{3}).)*+)'{3}"""
+    r"""|"(?P<double>(?:\\.|[^"\\\n])*+)"|'(?P<single>(?:\\.|[^'\\\n])*+)'|`(?P<back>(?:\\.|[^`\\\n])*+)`)"""
+    rf"""|(?P<name>{NAME})|(?P<sign>===?|!=|<=|>=|=>|:=|::|[=:])|(?P<open>[(\[{{])|(?P<close>[)\]}}])|(?P<line>\n)"""
+    r"""|(?P<join>[,+])|(?P<type>[<>|?&*])|(?P<other>[^\s\w])""",
+    re.S,
+)
+LITERALS = ("triple", "triple2", "double", "single", "back")
+SIGNS = ("=", ":", ":=", "=>")
+# What stands after a sign without quotes, to the next blank or mark that ends a value.
+BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]+""")
+# Elements of markup, and keys told apart from their values.
+ELEMENT = re.compile(rf"<(?P<name>{NAME})(?:\s[^<>]*)?>(?P<value>[^<>]+)</(?P=name)\s*>")
+KEYED = re.compile(
+    rf"""\b(?:key|name|id)["']?\s*[=:]\s*(["'])(?P<name>{NAME})\1\s*,?\s*["']?(?:value|val|content)["']?\s*[=:]\s*(?P<q>["'])(?P<value>(?:\\.|(?!(?P=q))[^\\\n])*+)(?P=q)"""
+    rf"""|<key>\s*(?P<name2>{NAME})\s*</key>\s*<(?P<tag>\w+)>(?P<value2>[^<>]+)</(?P=tag)>"""
 )
-IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*\Z")
 # How much a part of a name says that the value is secret.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9,
@@ -39,6 +53,8 @@ SENSITIVE = {
 # A literal is reported from this score on; its name tells at most 1, its letters at most 1.
 THRESHOLD = 1.2
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+# A text without any of these words cannot have a sensitive name.
+TELLING = re.compile("|".join(sorted({"api" if w == "apikey" else w for w in SENSITIVE})), re.I)
 
 
 def name_score(name: str) -> float:
@@ -66,27 +82,127 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+class Pairs:
+    """Name-literal pairs of a text: the places each name holds, and the names it is assigned from."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.holds: dict[str, list[tuple[int, int]]] = {}
+        self.links: dict[str, list[tuple[str, tuple[int, int]]]] = {}
+        self.tokens = [(m.lastgroup, *m.span(m.lastgroup)) for m in TOKEN.finditer(text)]
+        done = 0
+        for i, (kind, start, end) in enumerate(self.tokens):
+            if kind == "sign" and i >= done and i and text[start:end] in SIGNS:
+                done = self._assigned(i)
+        for m in ELEMENT.finditer(text):
+            self._hold([m["name"]], m.span("value"))
+        for m in KEYED.finditer(text):
+            which = ("name", "value") if m["name"] else ("name2", "value2")
+            self._hold([m[which[0]]], m.span(which[1]))
+
+    def _hold(self, names: list[str], place: tuple[int, int]) -> None:
+        start, end = place
+        word = self.text[start:end]
+        place = start + len(word) - len(word.lstrip()), end - len(word) + len(word.rstrip())
+        for name in names if word.strip() else []:
+            self.holds.setdefault(name, []).append(place)
+
+    def _kind(self, i: int) -> str:
+        return self.tokens[i][0] if i < len(self.tokens) else ""
+
+    def _sign(self, i: int) -> str:
+        return self.text[slice(*self.tokens[i][1:])] if self._kind(i) == "sign" else ""
+
+    def _name(self, i: int) -> str:
+        """The name that a token is, a quoted one included."""
+        kind, start, end = self.tokens[i]
+        word = self.text[start:end]
+        return word if kind == "name" or kind in LITERALS and re.fullmatch(NAME, word) else ""
+
+    def _assigned(self, sign: int) -> int:
+        """The pairs of the assignment whose first sign is token ``sign``; the token to go on from."""
+        names = [n for n in (self._name(sign - 1),) if n]
+        if not names:
+            return sign + 1
+        at = sign + 1
+        if self._sign(sign) == ":":  # a type up to a sign of its own on this line
+            end = at
+            while self._kind(end) in ("name", "type", "open", "close", "join"):
+                end += 1
+            if end > at and self._sign(end) == "=" and self._kind(at) == "name":
+                names += [self._name(at)] if end == at + 1 else []  # or no type, but the name itself after other text
+                at = end + 1
+        while self._kind(at) == "name" and self._sign(at + 1) == "=":  # a further target
+            names.append(self._name(at))
+            at += 2
+        depth = 0
+        while True:
+            kind = self._kind(at)
+            if kind == "open" or kind == "name" and self._kind(at + 1) == "open" and not self._between(at, at + 1):
+                depth += 1
+                at += 1 if kind == "open" else 2
+            elif kind == "line" and depth:
+                at += 1
+            elif kind == "other" and self.text[self.tokens[at][1]] == "\\" and self._kind(at + 1) == "line":
+                at += 2
+            else:
+                break
+        if kind in LITERALS:
+            while self._kind(at) in LITERALS and not self._sign(at + 1) in SIGNS[1:]:
+                self._hold(names, self.tokens[at][1:])
+                at += 1
+                # Literals that follow each other are one value, inside brackets also over lines and commas.
+                while self._kind(at) == "join" and (depth or self._kind(at + 1) in LITERALS) or depth and self._kind(at) == "line":
+                    at += 1
+            return at
+        if depth or not kind or kind == "line":
+            return at if depth == 0 else max(sign + 1, at - 1)
+        start = self.tokens[at][1]
+        bare = BARE.match(self.text, start)
+        if not bare or kind == "name" and self._sign(at + 1) in SIGNS and self.tokens[at + 1][1] < bare.end():
+            return sign + 1  # a pair inside, such as of a nested mapping
+        place = bare.span()
+        if kind == "name" and bare.end() == self.tokens[at][2]:
+            for name in names:
+                self.links.setdefault(name, []).append((bare[0], place))
+        else:
+            self._hold(names, place)
+        while at < len(self.tokens) and self.tokens[at][1] < bare.end():
+            at += 1
+        return at
+
+    def _between(self, i: int, j: int) -> bool:
+        return self.tokens[i][2] < self.tokens[j][1]
+
+    def reached(self) -> dict[tuple[int, int], float]:
+        """Places of literals, with the score of the most sensitive name that stands for them, over any links."""
+        scores: dict[tuple[int, int], float] = {}
+        seen: set[str] = set()
+        for name in sorted({*self.holds, *self.links}, key=name_score, reverse=True):
+            score, waiting = name_score(name), [name]
+            while score and waiting:
+                own = waiting.pop()
+                if own in seen:
+                    continue
+                seen.add(own)
+                for place in self.holds.get(own, []):
+                    scores.setdefault(place, score)
+                for other, place in self.links.get(own, []):
+                    if other in self.holds or other in self.links:
+                        waiting.append(other)
+                    else:
+                        scores.setdefault(place, score)  # no name of this text: a bare literal
+        return scores
+
+
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, "literal")`` of literals that reach a sensitive name, in order, each once."""
-    if "=" not in text and ":" not in text:
+    if not TELLING.search(text):
         return []
-    holds: dict[str, list[tuple[int, int]]] = {}  # of each name, the places of the literals it stands for
-    reached: dict[tuple[int, int], float] = {}
-    for m in ASSIGNMENT.finditer(text):
-        name, kind = m["name"], m.lastgroup
-        value, place = m[kind], m.span(kind)
-        if kind == "bare" and IDENTIFIER.match(value) and value in holds:
-            places = holds[value]
-        else:
-            places = [place]
-        holds[name] = places
-        score = name_score(name)
-        for at in places:
-            reached[at] = max(reached.get(at, 0.0), score)
     return [
         (start, end, "literal")
-        for (start, end), score in sorted(reached.items())
-        if score and score + literal_score(text[start:end]) >= THRESHOLD
+        for (start, end), score in sorted(Pairs(text).reached().items())
+        if score + literal_score(text[start:end]) >= THRESHOLD
     ]
 
 
@@ -99,7 +215,8 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     ``spans`` is ``kind:start:end`` of all spans by start, then kind, in code points; ``base_sha256`` the digest of
     the same text of the pattern spans alone. A literal is added where no pattern span overlaps it. A null or empty
-    text has no spans (an empty ``spans``, the digest of nothing). Whole texts are lexed, whatever their length.
+    text has no spans (an empty ``spans``, the digest of nothing). Repeated rows are told each for itself. Whole texts
+    are lexed, names and literals of any length; only a text that has no word of a sensitive name anywhere is not.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
