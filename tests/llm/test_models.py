@@ -11,7 +11,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from textgraph.llm import mixing
 from textgraph.llm.columns import fold
 from textgraph.llm.components import components
 from textgraph.llm.context_tree import context_tree_scores, log_gamma
@@ -208,6 +210,18 @@ def test_flight_keeps_both_sums():
     assert out.sum() == pytest.approx(chance.sum()) and (out * size).sum() == pytest.approx((chance * size).sum())
 
 
+def test_a_row_repeated_very_often_is_dealt_to_many_blocks(docs):
+    """No block holds all copies of a row, and the mix is still near its target."""
+    rows = docs([(1, "one two three", "a"), (2, "four five", "b")])
+    many = rows.crossJoin(rows.sparkSession.range(5000)).drop("id")
+    counted = mixing._each(many.groupBy(*many.columns).count().withColumnRenamed("count", "copies").withColumn("row", F.hash("text")))
+    numbered = counted.groupBy("doc_id").agg(F.countDistinct("copy"), F.max("copy")).collect()
+    assert set(map(tuple, numbered)) == {(1, 5000, 4999), (2, 5000, 4999)}
+    mixed = mix(many, block=64)
+    for r in mixed.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("size")).collect():
+        assert r.n == 5000 and abs(r.taken - r.target) <= 12 * r["size"]
+
+
 @pytest.mark.parametrize("block", [4096, 16])
 def test_mix_meets_targets_and_repeats_itself(docs, block):
     rng = random.Random(7)

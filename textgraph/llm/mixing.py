@@ -24,6 +24,8 @@ SHARE = 1.5
 MOST = 2.0
 # Documents of a source that walk together.
 BLOCK = 4096
+# Equal rows that are numbered together.
+LOT = 1024
 # Small documents that help the last undecided ones of a source to land near its target.
 HELPERS = 10
 # A fraction this close to 0 or 1 is decided.
@@ -109,7 +111,7 @@ def landing(chance: np.ndarray, size: np.ndarray, helpers: int = HELPERS) -> np.
 
 def _walk(last: bool):
     def block(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "size", "row"], kind="stable")
+        group = group.sort_values(["doc_id", "size", "row", "copy"], kind="stable")
         size = group["size"].to_numpy(float)
         draws = np.random.default_rng([len(group), int(group["row"].iloc[0]) & (1 << 62) - 1]).random(len(group))
         chance = flight(group["chance"].to_numpy(float), size, draws)
@@ -118,6 +120,14 @@ def _walk(last: bool):
     return block
 
 
+def _each(counted: DataFrame) -> DataFrame:
+    """Rows with ``copies`` one by one, each with its number as ``copy``; those of one row come from many tasks."""
+    lots = counted.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {LOT}"))))
+    within = F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(LOT), F.col("copies") - F.col("lot") * LOT) - 1)
+    spread = lots.repartition("doc_id", "row", "lot").withColumn("within", F.explode(within))
+    return spread.withColumn("copy", F.col("lot") * LOT + F.col("within")).drop("lot", "within", "copies")
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK) -> DataFrame:
     """``<doc_id, source, size, source_size, target, times, taken>``, one row per document.
 
@@ -132,13 +142,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         F.regexp_count(whole_text(text), F.lit(WORD)).cast("bigint").alias("size"),
         F.xxhash64(whole_text(text)).alias("row"),
     )
-    counted = durable(counted, "sizes")
-    totals = counted.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    # Equal rows are counted first and numbered later, so that however many there are they are dealt to blocks as others.
+    counted = durable(counted.groupBy(*counted.columns).agg(F.count("*").alias("copies")), "sizes")
+    totals = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.sum("copies").alias("n"))
     targets = durable(source_targets(totals), "targets")
     # A null source gets a key that no source's name can have.
     key = F.when(F.col("source").isNotNull(), F.concat(F.lit("s"), "source")).otherwise("n").alias("key")
     lookup = targets.select(key, "source_size", "target", "n")
-    rows = lookup_join(counted.select("doc_id", "source", "size", "row", key), lookup, "key", "n", broadcast_bytes=16 << 20)
+    rows = lookup_join(_each(counted).select("doc_id", "source", "size", "row", "copy", key), lookup, "key", "n", broadcast_bytes=16 << 20)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.when(F.col("size") > 0, F.floor(ratio)).otherwise(0)
     expected = rows.withColumns({"sure": whole.cast("bigint"), "chance": F.when(F.col("size") > 0, ratio - whole).otherwise(0.0)})
@@ -148,7 +159,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     while True:
         most = open_.groupBy("key").count().agg(F.max("count")).first()[0] or 0
         blocks = F.lit(max(1, -(-most // block))).cast("bigint")
-        dealt = open_.withColumn("block", F.pmod(F.xxhash64("doc_id", "row", F.lit(salt)), blocks))
+        dealt = open_.withColumn("block", F.pmod(F.xxhash64("doc_id", "row", "copy", F.lit(salt)), blocks))
         walked = dealt.groupBy("key", "block").applyInPandas(_walk(most <= block), dealt.schema).drop("block")
         walked = durable(walked, "walked")
         done.append(walked.filter(~undecided))
