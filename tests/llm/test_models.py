@@ -332,6 +332,39 @@ def test_marginals_against_enumeration():
     assert pairs == pytest.approx([both[k] for k in range(4)])
 
 
+def test_chains_of_a_text_are_one_chain():
+    """Texts cut into chains have the marginals of uncut ones, however strong the links between neighbours."""
+    rng = np.random.default_rng(8)
+    for transitions in (tuple(rng.normal(size=4)), (6.0, -6.0, -6.0, 6.0), (-3.0, 5.0, 5.0, -3.0)):
+        sizes = [1, 8, 9, 16, 67, 8, 640, 3]
+        texts = [rng.normal(0, 12, n) for n in sizes]
+        pieces = [np.pad(t, (0, -len(t) % 8), constant_values=np.nan).reshape(-1, 8) for t in texts]
+        cut = np.concatenate(pieces).T
+        first = np.concatenate([np.arange(len(p)) == 0 for p in pieces])
+        found = marginals(cut, ~np.isnan(cut), transitions, first).T
+        at = 0
+        for text, own in zip(texts, pieces):
+            whole = marginals(text[:, None], np.ones((len(text), 1), bool), transitions)[:, 0]
+            assert found[at : at + len(own)].ravel()[: len(text)] == pytest.approx(whole, rel=1e-9, abs=1e-12)
+            at += len(own)
+
+
+def test_toxicity_learns_from_a_bounded_number_of_rows(spark, docs, monkeypatch):
+    """Rows that share an id count against the bound like others, equal rows count once."""
+    from textgraph.llm import toxicity as module
+
+    monkeypatch.setattr(module, "SAMPLE_DOCS", 20)
+    learnt, counts = [], module._class_counts
+    monkeypatch.setattr(module, "_class_counts", lambda labelled: learnt.append(labelled.collect()) or counts(labelled))
+    rows = [(2, f"clean words {i}") for i in range(50)] + [(3, "the same text")] * 50 + [(i, f"nasty words {i}") for i in range(100, 130)]
+    labels = [(2, 0), (3, 0)] + [(i, 1) for i in range(100, 130)]
+    found = toxicity(docs(rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()
+    assert len(found) == len(rows)
+    of_label = Counter(r.toxic for r in learnt[0])
+    assert 0 < of_label[0] <= 20 and 0 < of_label[1] <= 20
+    assert sum(r.text == "the same text" for r in learnt[0]) <= 1
+
+
 def test_toxicity_on_held_out_rows(spark, docs):
     rng = random.Random(9)
     plain, bad = [f"plain{i}" for i in range(200)], ["nasty", "vile", "beastlyer", "beastlyest"]

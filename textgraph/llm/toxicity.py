@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 from ..plans.durable import durable
 from .columns import WORD, doc_rows, fold, text_bytes
 
-# Words of a chain; a text is one chain after the other.
+# Words of a chain; a text is one chain after the other. It is learnt from chains, but read as a whole.
 CHAIN = 64
 # Features of a word: itself and its first letters, hashed.
 BUCKETS = 1 << 20
 PREFIXES = (4, 6)
 # A word is toxic from this log-odds on, seen in so many toxic training documents.
 LEAST_ODDS, LEAST_DOCS = 2.5, 5
-# The bounds of the sample: documents of either label, and chains with and without toxic words among theirs.
+# The bounds of the sample: documents (rows that share id and text count once) of either label, and chains with and
+# without toxic words among theirs.
 SAMPLE_DOCS, SAMPLE_CHAINS = 10_000, 2_000
 # Documents of every fifth id hash are never learnt from.
 FOLDS = 5
@@ -86,12 +87,59 @@ class Field:
         return self.bias + self.odds_weight * self.odds[features].max(axis=1, initial=0.0) + self.weights[features].sum(axis=1)
 
 
-def _ratios(emission: np.ndarray, real: np.ndarray, transitions: tuple) -> tuple[np.ndarray, ...]:
-    """The words' own ratios of toxic against clean, and the forward and backward ones; rows are steps, columns chains."""
+def _composed(maps: Iterator[tuple]) -> tuple[np.ndarray, ...]:
+    """Maps x -> (p x + q) / (r x + s), done one after the other, as one; each number is an array over the chains."""
+    a, b, c, d = 1.0, 0.0, 0.0, 1.0
+    for k, (p, q, r, s) in enumerate(maps):
+        a, b, c, d = p * a + q * c, p * b + q * d, r * a + s * c, r * b + s * d
+        if k % 8 == 7:  # only the numbers' proportions count
+            size = a + b + c + d
+            a, b, c, d = a / size, b / size, c / size, d / size
+    return a, b, c, d
+
+
+def _over_borders(local: np.ndarray, real: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The forward ratio that comes into each chain, and the backward one at its last word.
+
+    A chain as a whole is one map from the ratio at its one end to that at the other, so a text's chains are passed
+    one after the other, all texts together, without looking at their words again.
+    """
+    j00, j01, j10, j11 = transitions
+    into, after = np.zeros(len(first)), np.ones(len(first))
+    order = np.arange(len(first))
+    level = order - np.maximum.accumulate(np.where(first, order, 0))
+    if not level.any():
+        return into, after
+    by_level = np.split(np.argsort(level, kind="stable"), np.cumsum(np.bincount(level))[:-1])
+    opening = (np.where(first, 0.0, local[0] * j11), np.where(first, local[0], local[0] * j01), np.where(first, 0.0, j10), np.where(first, 1.0, j00))
+    a, b, c, d = _composed(opening if t == 0 else (local[t] * j11, local[t] * j01, j10, j00) for t in range(len(local)))
+    for chains in by_level[1:]:
+        k = chains - 1
+        into[chains] = (a[k] * into[k] + b[k]) / (c[k] * into[k] + d[k])
+
+    def back(t: int) -> tuple[np.ndarray, ...]:
+        there = real[t + 1]
+        return np.where(there, local[t + 1] * j11, 0.0), np.where(there, j10, 1.0), np.where(there, local[t + 1] * j01, 0.0), np.where(there, j00, 1.0)
+
+    a, b, c, d = _composed(back(t) for t in range(len(local) - 2, -1, -1))
+    for k in reversed(by_level[1:]):
+        onward = local[0, k] * (a[k] * after[k] + b[k]) / (c[k] * after[k] + d[k])
+        after[k - 1] = (j10 + j11 * onward) / (j00 + j01 * onward)
+    return into, after
+
+
+def _ratios(emission: np.ndarray, real: np.ndarray, transitions: tuple, first: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """The words' own ratios of toxic against clean, and the forward and backward ones; rows are steps, columns chains.
+
+    ``first`` marks the chains that begin a text; the others go on where the chain before them ends.
+    """
     j00, j01, j10, j11 = np.exp(np.array(transitions))
     local = np.exp(np.clip(np.where(real, emission, 0.0), -30, 30))
     forward, backward = np.empty_like(local), np.ones_like(local)
     forward[0] = local[0]
+    if first is not None:
+        into, backward[-1] = _over_borders(local, real, first, np.exp(np.array(transitions)))
+        forward[0] = np.where(first, local[0], local[0] * (j01 + j11 * into) / (j00 + j10 * into))
     for t in range(1, len(local)):
         forward[t] = local[t] * (j01 + j11 * forward[t - 1]) / (j00 + j10 * forward[t - 1])
     for t in range(len(local) - 2, -1, -1):  # padding, at a chain's end, has nothing to say
@@ -100,9 +148,12 @@ def _ratios(emission: np.ndarray, real: np.ndarray, transitions: tuple) -> tuple
     return local, forward, backward
 
 
-def marginals(emission: np.ndarray, real: np.ndarray, transitions: tuple) -> np.ndarray:
-    """Each word's probability of the toxic state; rows are steps, columns chains, ``real`` marks the words."""
-    _, forward, backward = _ratios(emission, real, transitions)
+def marginals(emission: np.ndarray, real: np.ndarray, transitions: tuple, first: np.ndarray | None = None) -> np.ndarray:
+    """Each word's probability of the toxic state; rows are steps, columns chains, ``real`` marks the words.
+
+    Chains not marked by ``first`` go on with the text of the one before; without it each is a text.
+    """
+    _, forward, backward = _ratios(emission, real, transitions, first)
     odds = forward * backward
     return np.where(real, odds / (1 + odds), 0.0)
 
@@ -247,7 +298,8 @@ def _read(docs: DataFrame, field: Field, with_spans: bool) -> DataFrame:
         def told(ids: list, texts: list[bytes], emissions: list[np.ndarray]) -> pa.RecordBatch:
             pieces = [_chains(e) for e in emissions]
             together = np.ascontiguousarray(np.concatenate(pieces).T)
-            found = np.ascontiguousarray(marginals(together, ~np.isnan(together), field.transitions).T)
+            first = np.concatenate([np.arange(len(own)) == 0 for own in pieces])
+            found = np.ascontiguousarray(marginals(together, ~np.isnan(together), field.transitions, first).T)
             most, expected, spans, at = [], [], [], 0
             for value, own, emission in zip(texts, pieces, emissions):
                 p = found[at : at + len(own)].ravel()[: len(emission)]
@@ -295,9 +347,16 @@ def toxicity(
     known = known.filter(fold("doc_id", FOLDS) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = durable(known.join(rows.select("doc_id"), "doc_id", "left_semi"), "known")
     of_label = dict(known.groupBy("toxic").count().collect())
-    taken = [r for t in (0, 1) for r in known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()]
+    order = F.xxhash64("doc_id"), "doc_id"
+    taken = [r for t in (0, 1) for r in known.filter(F.col("toxic") == t).orderBy(*order).limit(SAMPLE_DOCS).collect()]
     sample = docs.sparkSession.createDataFrame([tuple(r) for r in taken], "doc_id bigint, toxic int")
-    labelled = durable(rows.join(F.broadcast(sample), "doc_id"), "labelled")  # of two times SAMPLE_DOCS ids at most
+    # Ids may stand on any number of rows: equal rows count once, and of the others as many are taken as of ids.
+    texts = rows.join(F.broadcast(sample), "doc_id").withColumn("print", F.xxhash64("text"))
+    prints = durable(texts.select("doc_id", "toxic", "print").distinct(), "prints")
+    taken = [r for t in (0, 1) for r in prints.filter(F.col("toxic") == t).orderBy(*order, "print").limit(SAMPLE_DOCS).collect()]
+    chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["print"]) for r in taken], "doc_id bigint, print bigint")
+    labelled = texts.join(F.broadcast(chosen), ["doc_id", "print"]).dropDuplicates(["doc_id", "print"]).drop("print")
+    labelled = durable(labelled, "labelled")
     clean, bad, n_clean, n_bad = _class_counts(labelled)
     odds = log_odds(clean, bad, n_clean, n_bad)
     field = train_field(odds, *_sampled_chains(labelled, odds))
