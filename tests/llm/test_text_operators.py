@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from textgraph.llm.decontaminate import Matcher, Pattern, leaks, pieces
 from textgraph.llm.exact_dedup import chunks, exact_duplicates
-from textgraph.llm.licenses import TEMPLATES, license_spans, winnow
+from textgraph.llm.licenses import NOTICES, Index, align, license_spans, packaged_templates, winnow
 from textgraph.llm.secrets import base_spans, literal_spans, secret_spans
 from textgraph.llm.token_counts import LongestMatch, token_counts
 
@@ -175,17 +175,89 @@ def test_secret_spans(docs):
 
 
 def test_license_spans(docs):
-    gpl = TEMPLATES["GPL-3.0"]
+    gpl, mit = (NOTICES[n].replace("|", "") for n in ("GPL-3.0-header", "MIT-notice"))
     edited = gpl.replace("redistribute", "share").upper()
-    texts = [(1, f"Première ligne. {TEMPLATES['MIT-notice']}, and more."), (2, "x " * 500 + edited), (3, "a license is given to no one"), (4, f"{TEMPLATES['MIT-notice']}; {TEMPLATES['MIT-notice']}")]
+    texts = [(1, f"Première ligne. {mit}, and more."), (2, "x " * 500 + edited), (3, "a license is given to no one"), (4, f"{mit}; {mit}")]
     found = [(r.doc_id, r.template, r.coverage, r.start, r.end) for r in license_spans(docs(texts)).collect()]
     one = next(f for f in found if f[0] == 1)
-    assert texts[0][1][one[3] : one[4]] == TEMPLATES["MIT-notice"] and one[1:3] == ("MIT-notice", 1.0)
-    two = next(f for f in found if f[:2] == (2, "GPL-3.0"))
+    assert texts[0][1][one[3] : one[4]] == mit and one[1:3] == ("MIT-notice", 1.0)
+    two = next(f for f in found if f[:2] == (2, "GPL-3.0-header"))
     assert 0.9 < two[2] < 1 and texts[1][1][two[3] : two[4]] == edited
     assert not [f for f in found if f[0] == 3] and len([f for f in found if f[0] == 4]) == 2
 
 
+@pytest.fixture(scope="module")
+def licenses():
+    return Index(packaged_templates())
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0-notice"),
+        ("Licensed under CC BY-NC-SA 4.0 by us", "CC-BY-NC-SA-4.0-notice"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-notice"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0-notice"),
+        ("Licensed under the Apache License, Version 2.1", None),
+        ("Licensed under the Apache License, Version 2.0", "Apache-2.0-notice"),
+        ("# SPDX-License-Identifier: LGPL-3.0", "LGPL-3.0-SPDX"),
+        ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause-SPDX"),
+    ],
+)
+def test_notices_are_told_by_name_and_version(licenses, text, expected):
+    assert [m[0] for m in licenses.matches(text.encode())] == ([expected] if expected else [])
+
+
+def test_whole_licenses_and_their_parts(licenses):
+    for name, text in packaged_templates().items():
+        if "|" not in text:
+            found = licenses.matches(f"Some lines before.\n{text}\nAnd some after.".encode())
+            assert [(m[0], m[2]) for m in found] == [(name, 1.0)], name
+    mozilla = packaged_templates()["MPL-2.0"]
+    middle = mozilla[len(mozilla) // 2 :][:3000]
+    (name, matched, coverage, start, end) = max(licenses.matches(f"é {middle} ende".encode()), key=lambda m: m[1])
+    assert name == "MPL-2.0" and 0.1 < coverage < 0.3 and matched > 400 and end - start > 2900
+
+
+def plain_align(template, words):
+    """Most common words in order, and the fewest leading words that have them."""
+    def common(n):
+        row = [0] * (n + 1)
+        for wanted in template:
+            before, row = row, [0] * (n + 1)
+            for j in range(n):
+                row[j + 1] = before[j] + 1 if words[j] == wanted else max(before[j + 1], row[j])
+        return row[n]
+
+    counts = [common(n) for n in range(len(words) + 1)]
+    return counts[-1], counts.index(counts[-1])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abcd", max_size=9), st.text("abcd", max_size=12))
+def test_alignment_is_the_longest_common_subsequence(template, words):
+    assert align(template, words, 50) == plain_align(template, words)
+
+
+def test_edited_parts_against_plain_alignment():
+    """Random texts that hold an edited stretch of a long template: matched words and span are those of a plain alignment."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for _ in range(20):
+        template = ["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(300)]
+        index = Index({"long": " ".join(template)})
+        first = rng.randrange(200)
+        part = template[first : first + rng.randint(40, 100)]
+        edited = list(part)
+        for place in sorted(rng.sample(range(8, len(part) - 8), 3), reverse=True):
+            edited[place : place + 1] = rng.choice([[], ["edited"], [edited[place], "more"]])
+        around = [["".join(rng.choices(letters, k=5)) for _ in range(rng.randint(0, 50))] for _ in range(2)]
+        text = " ".join(around[0] + edited + around[1])
+        ((name, matched, coverage, start, end),) = index.matches(text.encode())
+        assert matched == plain_align(part, edited)[0] and coverage == matched / 300
+        assert text[start:end] == " ".join(edited)
+
+
 def test_winnow_shares_a_fingerprint_of_long_common_runs():
     import numpy as np
 
