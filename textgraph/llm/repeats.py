@@ -4,7 +4,8 @@ Every string of LENGTH bytes (a window) chooses an anchor among its own K-grams,
 choose equal anchors at the same place in them. Neighbouring windows share an anchor; such a run of windows is one
 small record, dealt out by the anchor's hash.
 
-1. Runs with equal anchors and equal bytes around them are repeats as a whole; nothing but hashes is moved for them.
+1. Runs with equal anchors are repeats as a whole where 128-bit digests of all their bytes prove them equal, never for
+   polynomial hashes alone; nothing but hashes and digests is moved for them.
 2. Where runs with equal anchors differ, at the edges of repeats, one run of each kind has its bytes fetched, and
    its windows are sorted: a mergesort that compares two suffixes by binary search for their common extension over
    prefix polynomial hashes. Neighbours in the order that agree over LENGTH bytes are compared byte by byte.
@@ -75,10 +76,18 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return best
 
 
+def _digests(data: np.ndarray, first: np.ndarray, last: np.ndarray, anchor: np.ndarray, length: int) -> np.ndarray:
+    """Both halves of a digest of each run: its bytes, and where in them the anchor stands."""
+    view, places = memoryview(data), (anchor - first).astype("<i8").tobytes()
+    ends = zip(first.tolist(), (last + length).tolist())
+    told = (hashlib.blake2b(view[a:b], digest_size=16, salt=places[8 * i : 8 * i + 8]).digest() for i, (a, b) in enumerate(ends))
+    return np.frombuffer(b"".join(told), np.int64).reshape(-1, 2).T
+
+
 def runs(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
-    """``(anchor hash, run hash, first window, last window, anchor)`` of a text's runs of windows with one anchor."""
+    """``(anchor hash, digest, first window, last window, anchor, rest of the digest)`` of a text's runs of windows with one anchor."""
     if len(data) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     hashes = Hashes(data)
     starts = np.arange(len(data) - k + 1)
     grams = _mixed(hashes.of(starts, starts + k))
@@ -86,21 +95,22 @@ def runs(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
     last = np.r_[first[1:], len(chosen)] - 1
     anchor = chosen[first].astype(np.int64)
-    around = hashes.of(first, last + length)
-    shape = (anchor - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)
-    whole = _mixed(around ^ _mixed(shape))
-    return grams[anchor].view(np.int64), whole.view(np.int64), first, last, anchor
+    full, rest = _digests(data, first, last, anchor, length)
+    return grams[anchor].view(np.int64), full, first, last, anchor, rest
 
 
 RECORD = ["h", "full", "doc", "digest", "first", "last", "anchor"]
 SCHEMA = "h bigint, full bigint, doc bigint, digest bigint, first bigint, last bigint, anchor bigint, kind int"
+# Until they are compared, runs have the rest of their digest too.
+RUN_RECORD = [*RECORD, "rest"]
+RUN_SCHEMA = "h bigint, full bigint, doc bigint, digest bigint, first bigint, last bigint, anchor bigint, rest bigint, kind int"
 # A run that is a repeat as a whole; one to be compared; one to be compared by its bytes; a window of a frequent anchor.
 REPEAT, RUN, EDGE, WINDOW = 0, 1, 2, 3
 
 
-def _rows(columns: list[np.ndarray], kind: int) -> pa.RecordBatch:
+def _rows(columns: list[np.ndarray], kind: int, names: list[str] = RECORD) -> pa.RecordBatch:
     arrays = [pa.array(c.astype(np.int64)) for c in columns]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(columns[0]), kind, np.int32))], names=[*RECORD, "kind"])
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(columns[0]), kind, np.int32))], names=[*names, "kind"])
 
 
 def _runs_of_texts(length: int, k: int):
@@ -111,15 +121,15 @@ def _runs_of_texts(length: int, k: int):
 
         def out(parts: list) -> Iterator[pa.RecordBatch]:
             columns = [np.concatenate(c) for c in zip(*parts)]
-            order = np.lexsort((columns[1], columns[0]))
+            order = np.lexsort((columns[-1], columns[1], columns[0]))
             columns = [c[order] for c in columns]
-            h, full = columns[:2]
-            same = (h[1:] == h[:-1]) & (full[1:] == full[:-1])
+            h, full, rest = columns[0], columns[1], columns[-1]
+            same = (h[1:] == h[:-1]) & (full[1:] == full[:-1]) & (rest[1:] == rest[:-1])
             again = np.r_[False, same] if len(h) else np.zeros(0, bool)
             repeated = again | np.r_[same, False] if len(h) else again
             if repeated.any():
-                yield _rows([c[repeated] for c in columns], REPEAT)
-            yield _rows([c[~again] for c in columns], RUN)
+                yield _rows([c[repeated] for c in columns], REPEAT, RUN_RECORD)
+            yield _rows([c[~again] for c in columns], RUN, RUN_RECORD)
 
         for batch in batches:
             for doc, digest, value in zip(batch.column("doc").to_pylist(), batch.column("digest").to_pylist(), each_text(batch.column("text"))):
@@ -138,23 +148,23 @@ def _runs_of_texts(length: int, k: int):
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs come sorted by anchor and run hash. Equal ones are repeats; of an anchor with several kinds, one of each is an edge.
+    """Runs come sorted by anchor and digest. Equal ones are repeats; of an anchor with several kinds, one of each is an edge.
 
     Repeats that are known already go through. A row is judged by its neighbours alone, so nothing is held but the last row of a batch.
     """
     before = None  # the last row so far, and whether it was equal to the one before it and began its anchor
     for batch in batches:
         if (done := batch.filter(pc.equal(batch.column("kind"), REPEAT))).num_rows:
-            yield done
+            yield done.select([*RECORD, "kind"])
         batch = batch.filter(pc.equal(batch.column("kind"), RUN))
         if not batch.num_rows:
             continue
-        columns = [batch.column(c).to_numpy() for c in RECORD]
+        columns = [batch.column(c).to_numpy() for c in RUN_RECORD]
         if before is not None:
             columns = [np.r_[b, c] for b, c in zip(before[0], columns)]
-        h, full = columns[:2]
+        h, full, rest = columns[0], columns[1], columns[-1]
         same_h = h[1:] == h[:-1]
-        same = same_h & (full[1:] == full[:-1])
+        same = same_h & (full[1:] == full[:-1]) & (rest[1:] == rest[:-1])
         repeated = np.r_[same, False] | np.r_[False, same]
         new_kind = np.r_[False, same_h & ~same]  # the first of a further kind
         told_edge = new_kind.copy()
@@ -167,9 +177,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             told_edge[0] &= not before[2]
         held = len(h) - 1
         if repeated.any():
-            yield _rows([c[repeated & fresh] for c in columns], REPEAT)
+            yield _rows([c[repeated & fresh] for c in columns[:-1]], REPEAT)
         if told_edge.any():
-            yield _rows([c[told_edge & fresh] for c in columns], EDGE)
+            yield _rows([c[told_edge & fresh] for c in columns[:-1]], EDGE)
         was_repeated = bool(repeated[held]) or (before is not None and held == 0 and before[1])
         was_edge = bool(told_edge[held]) or (before is not None and held == 0 and before[2])
         before = ([c[held:] for c in columns], was_repeated, was_edge)
@@ -414,10 +424,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = doc_rows(docs, doc_id, text)
     keyed = rows.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "text")
     keyed = keyed.select("doc_id", F.coalesce("doc_id", _half("sha", 1)).alias("doc"), _half("sha", 0).alias("digest"), "text")
-    told = keyed.select("doc", "digest", "text").mapInArrow(_runs_of_texts(length, k), SCHEMA)
+    told = keyed.select("doc", "digest", "text").mapInArrow(_runs_of_texts(length, k), RUN_SCHEMA)
     # Runs meet by anchor; known repeats, of which a frequent anchor has many, are spread.
     meeting = F.when(_is(RUN), F.col("h")).otherwise(F.xxhash64("doc", "first"))
-    ordered = told.repartition(meeting).sortWithinPartitions("kind", "h", "full")
+    ordered = told.repartition(meeting).sortWithinPartitions("kind", "h", "full", "rest")
     compared = durable(ordered.mapInArrow(_compared, SCHEMA), "compared")
     edges = compared.filter(_is(EDGE))
     frequent = edges.groupBy("h").count().filter(F.col("count") > group)
