@@ -129,6 +129,47 @@ def test_repeats_survive_hash_collisions(docs, monkeypatch):
     assert repeats.repeated_windows(data, starts, np.zeros(3, np.int64), 8).tolist() == [True, False, True]
 
 
+def morse(n: int, letters: str) -> str:
+    """A string that every odd base hashes, modulo 2**64, like the one with its letters exchanged."""
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+def test_polynomial_collisions_are_told_apart_by_bytes(docs):
+    """Two stretches of 2,048 letters with one polynomial hash stand between equal ones: they are no repeats of each other."""
+    from textgraph.llm import repeats
+
+    one, other = (np.frombuffer(morse(2048, x).encode(), np.uint8) for x in ("xy", "yx"))
+    ends = np.array([0]), np.array([2048])
+    assert repeats.Hashes(one).of(*ends) == repeats.Hashes(other).of(*ends)
+    rng, length, k = random.Random(4), 2100, 1
+    side = lambda n: "".join(rng.choice("abcdef") for _ in range(n))
+    rows = [(10 * i + j, x + morse(2048, letters) + y) for i in range(6) for x, y in [(side(26), side(26))] for j, letters in enumerate(("xy", "yx"))]
+    rows += [(100, rows[0][1]), (101, rows[0][1][:-1] + "z")]
+    found = {r.doc_id: tuple(r)[1:5] for r in remove_repeats(docs(rows), length=length, k=k).collect()}
+    assert found == dict(brute_repeats([(i, t.encode()) for i, t in rows], length))
+
+
+def test_runs_survive_collisions_of_all_polynomial_hashes(monkeypatch):
+    """With one hash for all strings, runs are equal only where their bytes are."""
+    import pyarrow as pa
+
+    from textgraph.llm import repeats
+
+    monkeypatch.setattr(repeats.Hashes, "of", lambda self, start, stop: np.zeros(len(start), np.uint64))
+    texts = ["abcdefghij", "klmnopqrst", "xxabcdefgh", "uvwxyzabcd"]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(4)), "digest": [0] * 4, "text": texts})
+    told = [r for b in repeats._runs_of_texts(8, 3)(iter([batch])) for r in b.to_pylist()]
+    equal = [(0, 0), (2, 2)]
+    assert sorted((r["doc"], r["first"]) for r in told if r["kind"] == repeats.REPEAT) == equal
+    # Texts of tasks of their own meet in a sorted stream.
+    apart = [r for i in range(4) for b in repeats._runs_of_texts(8, 3)(iter([batch.slice(i, 1)])) for r in b.to_pylist()]
+    assert {r["kind"] for r in apart} == {repeats.RUN}
+    schema = pa.schema([*((c, pa.int64()) for c in repeats.RUN_RECORD), ("kind", pa.int32())])
+    met = pa.RecordBatch.from_pylist(sorted(apart, key=lambda r: (r["h"], r["full"], r["rest"])), schema=schema)
+    judged = [r for b in repeats._compared(iter(met.slice(i, 3) for i in range(0, len(met), 3))) for r in b.to_pylist()]
+    assert sorted((r["doc"], r["first"]) for r in judged if r["kind"] == repeats.REPEAT) == equal
+
+
 def test_repeats_of_texts_with_one_crc(docs):
     """Rows without an id, or with one id, whose different texts have the same crc32 keep spans of their own."""
     seen, pair = {}, None
@@ -311,6 +352,30 @@ def test_context_tree_against_recursion(docs, depth, block_bytes):
         assert row.base_score == pytest.approx(base) and row.score == pytest.approx(score(lower[i].encode()))
 
 
+def test_a_repeated_row_is_dealt_to_many_blocks(spark, docs, tmp_path):
+    """Rows of one id and text, from files or not, never fill one block."""
+    from textgraph.llm.columns import placed_rows
+    from textgraph.llm.context_tree import in_blocks
+
+    rows = docs([(7, "one row again and again")] * 100_000)
+    rows.repartition(3).write.parquet(str(tmp_path / "docs"))
+    for each in (rows, spark.read.parquet(str(tmp_path / "docs"))):
+        sizes = [r["count"] for r in in_blocks(placed_rows(each), 50).groupBy("block").count().collect()]
+        assert len(sizes) == 50 and max(sizes) < 3 * 2_000
+
+
+def test_a_repeated_row_is_learnt_and_scored_as_often_as_it_comes(docs):
+    rows = [(2, "one row again and again")] * 12 + [(3, "another one"), (4, "")]
+    counts = Counter(w for _, t in rows for w in [*t.split(), "\n"])
+    assert all(zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows)
+    score = plain_tree([t.encode() for _, t in rows], 2)
+    found = context_tree_scores(docs(rows), depth=2, block_bytes=300).collect()
+    assert Counter(r.doc_id for r in found) == {2: 12, 3: 1, 4: 1}
+    assert {r.train_tokens for r in found} == {sum(counts.values())}
+    for r in found:
+        assert r.score == pytest.approx(score(dict(rows)[r.doc_id].encode()))
+
+
 def test_marginals_against_enumeration():
     rng = np.random.default_rng(2)
     emission, transitions = rng.normal(size=(1, 5)), rng.normal(size=4)

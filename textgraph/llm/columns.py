@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.durable import durable
+
 # The characters that separate words in all contracts.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,6 +33,18 @@ def doc_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), whole_text(text).alias("text"))
 
 
+def placed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``<doc_id, text, place>``: ``place`` is the row's number in its file, the same whenever and however the file is read.
+
+    Rows of no file are written first.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")["row_index"]
+        return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), whole_text(text).alias("text"), place.alias("place"))
+    except AnalysisException:  # a plan that is not, or no longer, a scan of files
+        return placed_rows(durable(doc_rows(docs, doc_id, text), "documents"))
+
+
 def each_text(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of an Arrow string column without nulls, one text at a time."""
     return (value.as_py() for value in column.cast(pa.large_binary()))

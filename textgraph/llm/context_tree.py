@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.durable import durable
-from .columns import LOWER, UPPER, doc_rows, fold, text_bytes
+from .columns import LOWER, UPPER, fold, placed_rows, text_bytes
 
 # Fixed values of the contract: documents of this fold of seven are not learnt from.
 FOLDS, HELD_OUT = 7, 2
@@ -33,8 +33,8 @@ FOLDS, HELD_OUT = 7, 2
 DEPTH = 5
 # Text bytes of a block, and of the slices in which a block is read.
 BLOCK_BYTES, SLICE_BYTES = 16 << 20, 1 << 20
-# Parts that the strings are dealt to, at most; a part is merged and looked up as a whole.
-PARTS = 4096
+# Parts that the strings are dealt to for each block; a part is merged and looked up as a whole.
+PARTS_PER_BLOCK = 2
 # Strings weighted together; a subtree is never cut.
 TOGETHER = 1 << 17
 # UTF-8 has no such byte: it ends a text and stands before it.
@@ -218,12 +218,12 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 def _by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     """The places of sorted keys by part, in order."""
-    part = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % parts
+    part = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts
     order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    for p in range(parts):
-        if cuts[p] < cuts[p + 1]:
-            yield p, order[cuts[p] : cuts[p + 1]]
+    part = part[order]
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, np.int64)
+    for a, b in zip(cuts, cuts[1:]):
+        yield int(part[a]), order[a:b]
 
 
 VOCABULARY = "block bigint, part int, grams binary, counts binary, word string, n bigint"
@@ -405,6 +405,12 @@ def _scores(depth: int, parts: int, known: int, distinct: int):
     return score
 
 
+def in_blocks(rows: DataFrame, blocks: int) -> DataFrame:
+    """``<block, doc_id, train, text>``: rows dealt by their ids, sizes and places in their files, repeated rows too."""
+    block = F.pmod(F.xxhash64("doc_id", F.octet_length("text"), "place"), F.lit(blocks))
+    return rows.select(block.alias("block"), "doc_id", (fold("doc_id", FOLDS) != HELD_OUT).alias("train"), "text")
+
+
 def context_tree_scores(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -417,13 +423,11 @@ def context_tree_scores(
     """
     if not 2 <= depth <= 7:
         raise ValueError("depth must be 2 to 7")
-    rows = doc_rows(docs, doc_id, text)
+    rows = placed_rows(docs, doc_id, text)
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    train = fold("doc_id", FOLDS) != HELD_OUT
-    placed = rows.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).alias("block"), "doc_id", train.alias("train"), "text")
-    dealt = placed.mapInArrow(_bundles, "block bigint, rows binary")
-    parts = min(PARTS, max(8, 2 * blocks))
+    dealt = in_blocks(rows, blocks).mapInArrow(_bundles, "block bigint, rows binary")
+    parts = max(8, PARTS_PER_BLOCK * blocks)
     vocabulary = durable(dealt.groupBy("block").applyInArrow(_vocabulary(depth, parts), VOCABULARY), "vocabulary")
     by_part, by_word = vocabulary.filter("part IS NOT NULL"), vocabulary.filter("word IS NOT NULL")
     meeting = by_part.select("part", "grams", "counts").repartition("part").sortWithinPartitions("part")
