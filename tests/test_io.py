@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from plan_metrics import nodes
 from table_rows import as_dict
 
 from textgraph import bool_search, build_postings, documents_of, fetch_lines, lines_of, read_lines, read_lines_with_offset, write_tsv, write_tuples
@@ -42,16 +43,26 @@ def test_offsets_across_splits_and_files(spark, tmp_path, split_bytes):
     assert all(row["docid"] == row["offset"] for row in rows if row["file"].endswith("a.txt"))
 
 
-def test_a_finer_split_at_reading_is_an_error_and_never_loses_lines(spark, tmp_path):
-    (tmp_path / "t.txt").write_text("".join(f"line {i}\n" for i in range(20_000)))
+def test_a_finer_split_at_reading_changes_nothing(spark, tmp_path):
+    data = "".join(f"line {i}\n" for i in range(20_000)).encode()
+    (tmp_path / "t.txt").write_bytes(data)
     lines = read_lines_with_offset(spark, str(tmp_path))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
     try:
-        with pytest.raises(Exception, match="split differently"):
-            lines.filter("docid >= 0").collect()
+        found = {r["docid"]: r["line"] for r in lines.filter("docid >= 100").collect()}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {at: line for at, line in offsets(data).items() if at >= 100}
+
+
+def test_offsets_need_no_python_worker(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("red rose\nred car\n")
+    found = []
+    ran = [n["what"] for n in nodes(spark, lambda: found.extend(read_lines_with_offset(spark, str(tmp_path)).collect()), "")]
+    assert [r["docid"] for r in sorted(found)] == [0, 9]
+    assert any("Window" in what for what in ran)
+    assert not any(word in what for what in ran for word in ("Python", "Arrow", "Pandas"))
 
 
 def test_lines_of_several_files_are_documents_apart(spark, tmp_path):

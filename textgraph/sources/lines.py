@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,62 +16,40 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def _offsets_within_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add to each line the bytes of its split's earlier lines. A task reads its splits one after the other."""
-    split, read = None, 0
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        sizes = batch.column("bytes").to_numpy()
-        changes = [pc.not_equal(batch.column(c).slice(1), batch.column(c).slice(0, batch.num_rows - 1)) for c in ("file", "split")]
-        own = (batch.column("file")[0].as_py(), batch.column("split")[0].as_py())
-        first = np.r_[own != split, pc.or_(*changes).to_numpy(zero_copy_only=False)]
-        before = np.cumsum(sizes) - sizes
-        run = np.maximum.accumulate(np.where(first, np.arange(len(sizes)), 0))
-        base = np.where(np.logical_or.accumulate(first), -before[run], read)
-        offsets = before + base
-        split = (batch.column("file")[batch.num_rows - 1].as_py(), batch.column("split")[batch.num_rows - 1].as_py())
-        read = int(offsets[-1] + sizes[-1])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("file"), batch.column("split"), pa.array(offsets, pa.int64()), batch.column("line")],
-            names=["file", "split", "within", "line"],
-        )
-
-
 def read_lines_with_offset(spark: SparkSession, path: str) -> DataFrame:
     """``<file, offset, docid, line>``: ``offset`` is the byte offset of the line in its (UTF-8) file.
 
     ``docid`` is the offset in all files laid end to end by path, so it is unique among them, and in a single file
-    it is the offset. The bytes of every split are summed in one pass over the lengths alone; running sums over
-    splits and files, one number for each, say where a split's first line starts. The text itself is not shuffled.
-    Should the files be split more finely when the text is read (Spark goes by the number of cores at that time),
-    it is an error, never a lost line.
+    it is the offset. The files are read once, now: the lines of each split are summed up in the order they are read,
+    a split at a time (``spark.sql.files.maxPartitionBytes`` of text at most), and written. Running sums over splits
+    and files, one number for each, say where a split's first line starts. All that is told comes from the written
+    lines, so it does not matter how finely the files are split, now or later.
     """
     raw = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
+        # Ids grow in the order of reading. A split is read by one task, so its lines' ids are in order.
+        F.monotonically_increasing_id().alias("id"),
         F.col("value").alias("line"),
         (F.octet_length("value") + 1).cast("bigint").alias("bytes"),
     )
+    earlier_lines = W.partitionBy("file", "split").orderBy("id").rowsBetween(W.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("bytes").over(earlier_lines), F.lit(0)).alias("within")
+    lines = durable(raw.select("file", "split", within, "bytes", "line"), "lines")
+    sizes = durable(lines.groupBy("file", "split").agg(F.sum("bytes").alias("bytes")), "sizes")
     earlier_splits = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    sizes = raw.groupBy("file", "split").agg(F.sum("bytes").alias("bytes"))
-    sizes = durable(sizes, "sizes")
     earlier_files = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
     files = sizes.groupBy("file").agg(F.sum("bytes").alias("bytes"))
     files = files.select("file", F.coalesce(F.sum("bytes").over(earlier_files), F.lit(0)).alias("base"))
     starts = sizes.select("file", "split", F.coalesce(F.sum("bytes").over(earlier_splits), F.lit(0)).alias("start"))
-    placed = raw.mapInArrow(_offsets_within_split, "file string, split bigint, within bigint, line string")
     known = broadcast_if_small(durable(starts.join(files, "file"), "splits"))
-    moved = F.raise_error(F.concat(F.lit("split differently than when measured: "), "file")).cast("bigint")
-    # Not deterministic for the optimizer, so no filter on ids slips below it and turns the outer join into an inner one.
-    unknown = F.col("start").isNull() & (F.monotonically_increasing_id() >= 0)
-    offset = F.when(unknown, moved).otherwise(F.col("start") + F.col("within"))
-    return placed.join(known, ["file", "split"], "left").select(
+    offset = F.col("start") + F.col("within")
+    return lines.join(known, ["file", "split"]).select(
         "file",
         offset.alias("offset"),
-        "base",
+        (F.col("base") + offset).alias("docid"),
         F.regexp_replace("line", r"\r\z", "").alias("line"),
-    ).select("file", "offset", (F.col("base") + F.col("offset")).alias("docid"), "line")
+    )
 
 
 def lines_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
