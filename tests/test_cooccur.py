@@ -3,6 +3,7 @@ import random
 from collections import Counter
 from functools import partial
 from itertools import permutations
+from pathlib import Path
 
 import pytest
 from plan_metrics import nodes
@@ -59,6 +60,33 @@ def test_stripes_move_less_than_pairs(spark, lines):
     assert 0 < moved("stripes") < moved("pairs")
 
 
+def shuffled_bytes(spark):
+    """Bytes of shuffle files that lie on disk."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(f.stat().st_size for d in folders for f in Path(d).rglob("shuffle_*.data"))
+
+
+@pytest.mark.parametrize("by", ["pairs", "stripes"])
+@pytest.mark.parametrize("block, words_sent", [(3, True), (256, False)])
+def test_pairs_are_counted_in_passes_that_leave_no_shuffle_files(spark, lines, monkeypatch, by, block, words_sent):
+    texts = corpus(10, 500)
+    before = shuffled_bytes(spark)
+    monkeypatch.setattr(cooccur, "FEW", 300, raising=False)
+    monkeypatch.setattr(cooccur, "PASS_PAIRS", 0.1, raising=False)
+    if not words_sent:
+        monkeypatch.setattr(cooccur, "BROADCAST_BYTES", 0, raising=False)
+    found = cooccurrence(lines(*texts), 3, block, by=by)
+    assert shuffled_bytes(spark) <= before + 1000  # of sums alone
+    assert as_dict(found, "x", "y") == brute_pairs(texts, 3)
+
+
+def test_stripes_built_in_passes(lines, monkeypatch):
+    texts = corpus(11, 30)
+    monkeypatch.setattr(cooccur, "FEW_PARTNERS", 5)
+    flat = stripes(cooccurrence(lines(*texts), 2), entries=4).select("x", F.explode("stripe").alias("y", "n"))
+    assert as_dict(flat, "x", "y") == brute_pairs(texts, 2)
+
+
 def test_all_pairs_without_support(lines):
     texts = corpus(2, 20)
     assert as_dict(cooccurrence(lines(*texts), 1), "x", "y") == brute_pairs(texts, 1)
