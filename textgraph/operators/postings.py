@@ -7,19 +7,25 @@ views of it, cut into blocks of ``span`` docids: block b of a term holds its doc
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
-from ..plans.durable import durable
+from ..functions.text import ws_tokens
+from ..plans.durable import durable, once_settled, settled
 from ..plans.sizing import broadcast_if_small
 from ..plans.skew import lookup_join
-from .counts import tokenize
 
 SPAN = 1 << 16
+# Postings that are encoded, listed or decoded at once; more are dealt to passes by term, PASSES at most.
+FEW = 2_000_000
+PASSES = 8
 
 
 @dataclass(frozen=True)
@@ -30,9 +36,38 @@ class BlockIndex:
     terms: DataFrame | None
 
 
+def _counted_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``<term, docid, tf>`` of ``<docid, terms>``, each row by itself."""
+    for rows in batches:
+        tokens = pa.table({"row": pc.list_parent_indices(rows["terms"]), "term": pc.list_flatten(rows["terms"])})
+        counted = tokens.group_by(["row", "term"], use_threads=False).aggregate([([], "count_all")])
+        told = {"term": counted["term"], "docid": rows["docid"].take(counted["row"].combine_chunks()), "tf": counted["count_all"]}
+        yield from pa.table(told).to_batches(max_chunksize=100_000)
+
+
 def build_postings(lines: DataFrame) -> DataFrame:
-    """``<term, docid, tf>``: how often each document holds each of its blank-separated terms."""
-    return tokenize(lines.select("docid", "line")).groupBy("term", "docid").agg(F.count("*").alias("tf"))
+    """``<term, docid, tf>``: how often each document holds each of its blank-separated terms.
+
+    Each row's terms are counted where the row is read. Only if some docid stands in several rows (the docids alone
+    are counted first) are these counts shuffled and added up.
+    """
+    schema = StructType().add("term", StringType()).add(lines.schema["docid"]).add("tf", LongType())
+    counted = lines.select("docid", ws_tokens(F.col("line")).alias("terms")).mapInArrow(_counted_terms, schema)
+    if lines.groupBy("docid").agg(F.count("*").alias("rows")).filter(F.col("rows") > 1).isEmpty():
+        return counted
+    return counted.groupBy("term", "docid").agg(F.sum("tf").alias("tf"))
+
+
+def _by_terms(table: DataFrame, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """``build(table)`` of a written table; of a large one in passes over hashes of terms, each written before the next.
+
+    ``build`` must treat each term by itself.
+    """
+    passes = min(PASSES, -(-table.count() // FEW))
+    if passes <= 1:
+        return build(table)
+    of = F.pmod(F.xxhash64("term"), F.lit(passes))
+    return settled((build(table.filter(of == part)) for part in range(passes)), name)
 
 
 def term_df(postings: DataFrame) -> DataFrame:
@@ -47,7 +82,7 @@ def block_of(span: int) -> Column:
 def _with_df(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     """``blocks`` with ``df``, the documents of the term, from ``counts<term, block, block_df>`` of all its blocks."""
     sums = counts.groupBy("term").agg(F.sum("block_df").alias("df"), F.count("*").alias("blocks"))
-    return lookup_join(blocks, durable(sums, "df"), "term", "blocks").drop("blocks")
+    return lookup_join(blocks, settled([sums], "df"), "term", "blocks").drop("blocks")
 
 
 def _block_counts(postings: DataFrame, span: int) -> DataFrame:
@@ -60,7 +95,7 @@ def postings_lists(postings: DataFrame, span: int = SPAN) -> DataFrame:
     ``df`` is the number of documents of the term, ``block_df`` of those in the block. The blocks of a term in block
     order are its whole list. The long table is written once; ``df`` is counted from it before any list is built.
     """
-    postings = durable(postings.select("term", "docid", "tf"), "postings")
+    postings = once_settled(postings.select("term", "docid", "tf"), "postings")
     lists = postings.groupBy("term", block_of(span).alias("block")).agg(
         F.count("*").alias("block_df"),
         F.array_sort(F.collect_list(F.struct("docid", "tf"))).alias("postings"),
@@ -104,37 +139,45 @@ def encode_gaps(postings: DataFrame, span: int = SPAN, fan: int = SPAN) -> DataF
 
     ``prev`` is the last docid before the block, 0 for a term's first block, and ``pos`` the place in the block,
     so each block decodes by itself. Only the first gap of a block needs another block; to find it, one number
-    a block is ordered, not the postings. As they are read more than once, they are written first.
+    a block is ordered, not the postings. As they are read more than once, they are written first; many are encoded
+    in passes by term.
     """
-    postings = durable(postings, "postings")
-    blocked = postings.withColumn("block", block_of(span))
+    postings = once_settled(postings, "postings")
     highest = (postings.agg(F.max("docid")).first()[0] or 0) // span
-    ends = blocked.groupBy("term", "block").agg(F.max("docid").alias("last"))
-    starts = _previous_ends(ends, highest, fan)
     in_block = W.partitionBy("term", "block").orderBy("docid")
-    placed = blocked.withColumns(
-        {"pos": F.row_number().over(in_block).cast("bigint") - 1, "before": F.lag("docid").over(in_block)}
-    )
-    gap = F.col("docid") - F.coalesce("before", "prev")
-    return placed.join(starts.hint("merge"), ["term", "block"]).select("term", "block", "prev", "pos", gap.alias("gap"), "tf")
+
+    def encode(own: DataFrame) -> DataFrame:
+        blocked = own.withColumn("block", block_of(span))
+        ends = blocked.groupBy("term", "block").agg(F.max("docid").alias("last"))
+        starts = _previous_ends(ends, highest, fan)
+        placed = blocked.withColumns(
+            {"pos": F.row_number().over(in_block).cast("bigint") - 1, "before": F.lag("docid").over(in_block)}
+        )
+        gap = F.col("docid") - F.coalesce("before", "prev")
+        return placed.join(starts.hint("merge"), ["term", "block"]).select("term", "block", "prev", "pos", gap.alias("gap"), "tf")
+
+    return _by_terms(postings, encode, "gaps")
 
 
 def gap_lists(encoded: DataFrame) -> DataFrame:
     """``<term, block, prev, df, block_df, gaps ARRAY<gap, tf>>``: the gaps of a block as one list, and the term's df."""
-    encoded = durable(encoded, "gaps")
-    entries = F.array_sort(F.collect_list(F.struct("pos", "gap", "tf")))
-    lists = encoded.groupBy("term", "block", "prev").agg(F.count("*").alias("block_df"), entries.alias("entries"))
-    gaps = F.transform("entries", lambda e: F.struct(e["gap"].alias("gap"), e["tf"].alias("tf")))
-    counts = encoded.groupBy("term", "block").agg(F.count("*").alias("block_df"))
-    lists = lists.select("term", "block", "prev", "block_df", gaps.alias("gaps"))
-    return _with_df(lists, counts).select("term", "block", "prev", "df", "block_df", "gaps")
+
+    def build(own: DataFrame) -> DataFrame:
+        entries = F.array_sort(F.collect_list(F.struct("pos", "gap", "tf")))
+        lists = own.groupBy("term", "block", "prev").agg(F.count("*").alias("block_df"), entries.alias("entries"))
+        gaps = F.transform("entries", lambda e: F.struct(e["gap"].alias("gap"), e["tf"].alias("tf")))
+        counts = own.groupBy("term", "block").agg(F.count("*").alias("block_df"))
+        lists = lists.select("term", "block", "prev", "block_df", gaps.alias("gaps"))
+        return _with_df(lists, counts).select("term", "block", "prev", "df", "block_df", "gaps")
+
+    return _by_terms(once_settled(encoded, "gaps"), build, "lists")
 
 
 def decode_gaps(encoded: DataFrame) -> DataFrame:
     """``<term, docid, tf>`` of gaps: running sums inside each block, from its ``prev`` on."""
     so_far = W.partitionBy("term", "block").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
     docid = F.col("prev") + F.sum("gap").over(so_far)
-    return encoded.select("term", docid.alias("docid"), "tf")
+    return _by_terms(once_settled(encoded, "gaps"), lambda own: own.select("term", docid.alias("docid"), "tf"), "decoded")
 
 
 def lookup_postings(postings: DataFrame, terms: Sequence[str]) -> DataFrame:
