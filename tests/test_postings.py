@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
+from plan_metrics import nodes
 from table_rows import as_dict
 from pyspark.sql import functions as F
 
@@ -16,12 +17,17 @@ from textgraph import (
     lookup_postings,
     postings_lists,
     postings_map,
+    save_block_index,
+    save_lookup,
     save_postings,
+    save_wide_table,
     term_df,
     tf_histogram,
     with_shard,
     write_index,
 )
+from textgraph.operators import postings as operator
+from textgraph.sinks import index as sink
 
 
 def documents(spark, seed=1):
@@ -121,3 +127,46 @@ def test_sharded_table(spark, tmp_path):
     save_postings(build_postings(df), path, buckets=3)
     assert spark.read.parquet(path).columns == ["term", "docid", "tf"]
     assert with_shard(build_postings(df), 4).select("shard").distinct().count() <= 4
+
+
+def test_documents_of_one_id_or_none_are_counted_together(spark):
+    rows = [(1, "a b a"), (2, "b"), (1, "a  c"), (None, "a"), (None, "a b"), (3, None), (4, " ")]
+    found = build_postings(spark.createDataFrame(rows, "docid bigint, line string"))
+    expected = {("a", 1): 3, ("b", 1): 1, ("c", 1): 1, ("b", 2): 1, ("a", None): 2, ("b", None): 1}
+    assert as_dict(found, "term", "docid") == expected
+
+
+def test_terms_of_single_documents_are_not_shuffled(spark):
+    df, rows = documents(spark, 6)
+    found = build_postings(df)
+    assert "Exchange hash" not in found._jdf.queryExecution().executedPlan().toString()
+    assert as_dict(found, "term", "docid") == brute(rows)
+
+
+def test_gaps_in_passes_by_term(spark, monkeypatch):
+    df, rows = documents(spark, 7)
+    monkeypatch.setattr(operator, "FEW", 20)
+    shuffled = [n["shuffle bytes written"] for n in nodes(spark, lambda: encode_gaps(build_postings(df), 64, 4), "Exchange")]
+    assert shuffled  # encoded pass by pass, and written
+    encoded = encode_gaps(build_postings(df), 64, 4)
+    assert as_dict(decode_gaps(encoded), "term", "docid") == brute(rows)
+    whole = Counter(t for t, _ in brute(rows))
+    lists = gap_lists(encoded).collect()
+    assert all(r["df"] == whole[r["term"]] and r["block_df"] == len(r["gaps"]) for r in lists)
+    assert sum(len(r["gaps"]) for r in lists) == len(brute(rows))
+
+
+def test_a_large_index_has_more_files_than_asked_for(spark, monkeypatch, tmp_path):
+    df, rows = documents(spark, 8)
+    monkeypatch.setattr(sink, "TASK_ROWS", 20)
+    least = len(brute(rows)) // 20
+    write_index(build_postings(df), str(tmp_path / "index"), 2)
+    save_lookup(build_postings(df), str(tmp_path / "lookup"), 2, 2)
+    save_block_index(build_postings(df), str(tmp_path / "blocks"), 2, 1 << 40)
+    save_wide_table(build_postings(df), "wide_of_many", 2, 16, str(tmp_path / "wide"))
+    assert as_dict(spark.table("wide_of_many").select("term", F.explode("cells").alias("docid", "tf")), "term", "docid") == brute(rows)
+    spark.sql("DROP TABLE wide_of_many")
+    for name in ("index", "lookup", "blocks/postings"):
+        assert as_dict(spark.read.parquet(str(tmp_path / name)).select("term", "docid", "tf"), "term", "docid") == brute(rows)
+        assert len(list((tmp_path / name).rglob("*.parquet"))) >= least - 1
+    assert len(list((tmp_path / "wide").rglob("*.parquet"))) > 2
