@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
+from plan_metrics import nodes
 from table_rows import as_dict
 from pyspark.sql import functions as F
 
@@ -168,3 +169,48 @@ def test_a_large_index_has_more_files_than_asked_for(spark, monkeypatch, tmp_pat
         assert as_dict(spark.read.parquet(str(tmp_path / name)).select("term", "docid", "tf"), "term", "docid") == brute(rows)
         assert len(list((tmp_path / name).rglob("*.parquet"))) >= least - 1
     assert len(list((tmp_path / "wide").rglob("*.parquet"))) > 2
+
+
+def scattered(spark, seed=9):
+    """Postings in no order, of terms in one document and in all, docids on both sides of zero and far apart; some twice or null."""
+    rng = random.Random(seed)
+    ids = [*range(-40, 200), *(10**12 + i for i in range(0, 900, 7)), -(10**13), 1 << 61]
+    rows = [(t, d, rng.randint(1, 9)) for d in ids for t in {"all", "ünï", "", rng.choice("abcdefgh"), f"only{d}"} if t == "all" or rng.random() < 0.6]
+    rows += [("all", 5, 77), ("all", None, 1), (None, 5, 1)]
+    rng.shuffle(rows)
+    return spark.createDataFrame(rows, "term string, docid bigint, tf bigint").repartition(3), rows
+
+
+@pytest.mark.parametrize("chunk, width, row", [(1 << 19, 1 << 22, 512), (1, 1, 1), (50, 64, 3), (7, 1 << 10, 512)])
+def test_gaps_move_once_in_packed_rows_however_these_are_cut(spark, monkeypatch, chunk, width, row):
+    for name, value in (("CHUNK", chunk), ("RANGE", width), ("ROW_GAPS", row), ("TOLD", 10), ("BUCKET_BITS", 4)):
+        monkeypatch.setattr(operator, name, value)
+    p, rows = scattered(spark)
+    moved = []
+    held = nodes(spark, lambda: moved.append(encode_gaps(p, 16, 4)), "Exchange")
+    # The postings move in packed rows and only once; the other exchange is the test's own.
+    assert sum("hashpartitioning" in h["what"] for h in held) == sum("(bucket#" in h["what"] for h in held) == 1
+    encoded, expected = moved[0], {}
+    for t, d, n in rows:
+        if t is not None and d is not None:
+            expected.setdefault(t, []).append((d, n))
+    blocks = {}
+    for r in encoded.collect():
+        blocks.setdefault((r["term"], r["block"]), []).append((r["pos"], r["gap"], r["tf"], r["prev"]))
+    listed = {(r["term"], r["block"]): r for r in gap_lists(encoded).collect()}
+    assert listed.keys() == blocks.keys()
+    for term, of in expected.items():
+        before, seen = 0, Counter()
+        for block in dict.fromkeys(int(d / 16) if abs(d) < 1 << 50 else d // 16 for d in sorted(d for d, _ in of)):
+            found, told = sorted(blocks.pop((term, block))), listed[term, block]
+            assert [pos for pos, *_ in found] == list(range(len(found))) and {prev for *_, prev in found} == {before}
+            assert (told["prev"], told["df"], told["block_df"]) == (before, len(of), len(found))
+            assert [(e["gap"], e["tf"]) for e in told["gaps"]] == [(gap, n) for _, gap, n, _ in found]
+            for _, gap, n, _ in found:
+                before += gap
+                seen[before, n] += 1
+        assert seen == Counter(of)
+    assert not blocks
+    assert Counter(map(tuple, decode_gaps(encoded).collect())) == Counter((t, d, n) for t, of in expected.items() for d, n in of)
+    # Rows that are not as encode_gaps left them are grouped anew.
+    assert Counter(map(tuple, decode_gaps(encoded.filter("term = 'all'")).collect())) == Counter(("all", d, n) for d, n in expected["all"])
