@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 from functools import partial
 from itertools import permutations
@@ -11,7 +12,7 @@ from table_rows import as_dict
 from pyspark.sql import functions as F
 
 from textgraph import cooccurrence, pair_counts, pmi, read_lines, stripes, top_pair, top_partners
-from textgraph.functions.text import pmi_score
+from textgraph.functions.text import lines_in, pmi_score
 from textgraph.operators import cooccur
 from textgraph.plans.skew import lookup_join
 
@@ -168,3 +169,43 @@ def test_published_scores(spark):
     scored = df.select(pmi_score(F.col("n"), F.col("a"), F.col("b"), F.col("lines")).alias("s"), "expected")
     for row in scored.collect():
         assert row["s"] == pytest.approx(row["expected"], abs=1e-4)
+
+
+@pytest.mark.parametrize("by", ["pairs", "stripes"])
+@pytest.mark.parametrize("block, cells, own_ranges, passes", [(256, 10**6, 1 << 14, 1), (2, 30, 4, 300), (1, 1, 1, 40)])
+def test_pairs_do_not_move_one_by_one(spark, lines, monkeypatch, by, block, cells, own_ranges, passes):
+    texts = corpus(12, 400) + ["w1 w2 w3 w4 rare"] * 3 + [" ".join(f"w{i}" for i in range(25))] * 5
+    monkeypatch.setattr(cooccur, "OWN_RANGES", own_ranges, raising=False)
+    monkeypatch.setattr(cooccur, "RANGES", 2, raising=False)
+    monkeypatch.setattr(cooccur, "SENT_WORDS", 50, raising=False)
+    if passes > 1:
+        monkeypatch.setattr(cooccur, "FEW", passes)
+        monkeypatch.setattr(cooccur, "PASS_PAIRS", 0)
+    told = []
+    count = {"pairs": cooccur._pair_counts, "stripes": cooccur._stripe_counts}[by]
+    held = nodes(spark, lambda: told.append(count(lines(*texts), 3, block, cells=cells)[0].collect()), "Exchange")
+    # Once lines are numbered, what moves is packed: never a row for a pair.
+    assert any("(x#" in h["what"] for h in held) and not any("x#" in h["what"] and "y#" in h["what"] for h in held)
+    expected = brute_pairs(texts, 3)
+    assert sorted(n for _, _, n in told[0]) == sorted(n for (x, y), n in expected.items() if x < y)
+    assert as_dict(cooccurrence(lines(*texts), 3, block, by=by), "x", "y") == expected
+
+
+@pytest.mark.parametrize("by", ["pairs", "stripes"])
+def test_words_that_are_not_broadcast_are_joined(lines, monkeypatch, by):
+    texts = corpus(13)
+    counts, words, _ = cooccur.COUNTING[by](lines(*texts), 3)
+    monkeypatch.setattr(cooccur, "BROADCAST_BYTES", cooccur.measured_bytes(words) // 3)
+    named = as_dict(cooccur._with_terms(counts, words).select("a", "b", "df_a", "df_b", "n"), "a", "b")
+    expected, df = brute_pairs(texts, 3), Counter(w for t in texts for w in set(t.split()))
+    assert {p: n for p, (*_, n) in named.items()} == {(a, b): expected[a, b] for a, b in named}
+    assert all((x, y) == (df[a], df[b]) for (a, b), (x, y, _) in named.items()) and 2 * len(named) == len(expected)
+    monkeypatch.setattr(cooccur, "_sent_dictionary", lambda *_: None)
+    assert as_dict(cooccurrence(lines(*texts), 3, by=by), "x", "y") == expected
+
+
+def test_lines_end_at_any_break(spark):
+    texts = ["", "\n", "\r\n", "\r\r\n", "a\r\nb\rc\nd", "a\n\r", "\n\na", "a\r", None, "a b"]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", lines_in(F.col("t")).alias("l"))
+    split = lambda t: None if t is None else re.split(r"\r\n|\r|\n", re.sub(r"(\r\n|\r|\n)\Z", "", t))
+    assert as_dict(found, "i") == {i: split(t) for i, t in enumerate(texts)}

@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
+from ..functions.cells import bytes_of, cells_of, numbers_of, offsets_of, sizes_of, strings_of
 from ..functions.text import ws_tokens
 from ..plans.durable import durable, once_settled, settled
 from ..plans.sizing import broadcast_if_small
@@ -137,33 +138,6 @@ def _spread(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
 
 
-def _string_parts(strings: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets and bytes of strings without nulls."""
-    _, offsets, data = strings.buffers()
-    offsets = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
-    return offsets, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-
-
-def _cells(values: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
-    """Numbers as cells of bytes; of each cell but the first, the start is where the one before ends."""
-    values = np.ascontiguousarray(values)
-    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer((np.r_[0, ends] * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
-
-
-def _numbers(column: pa.BinaryArray, dtype: type = np.int64) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a column of such cells, and how many each cell holds."""
-    offsets, data = _string_parts(column)
-    size = np.dtype(dtype).itemsize
-    return data[offsets[0] : offsets[-1]].view(dtype), np.diff(offsets) // size
-
-
-def _strings(terms: pa.BinaryArray, lengths: np.ndarray) -> pa.StringArray:
-    """The strings of a column of cells that hold strings end to end, of which the lengths are known."""
-    offsets, data = _string_parts(terms)
-    ends = np.r_[0, np.cumsum(lengths)].astype(np.int32)
-    return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(ends), pa.py_buffer(data[offsets[0] : offsets[-1]]))
-
-
 SENT_DDL = "bucket int, range bigint, terms binary, lengths binary, counts binary, steps binary, tfs binary"
 
 
@@ -180,7 +154,7 @@ def _sent(span: int):
         if not rows.num_rows:
             return pa.RecordBatch.from_pylist([], pa.schema([("bucket", pa.int32()), ("range", pa.int64())] + [(c, pa.binary()) for c in ("terms", "lengths", "counts", "steps", "tfs")]))
         coded = rows["term"].combine_chunks().dictionary_encode()
-        bucket = _spread(*_string_parts(coded.dictionary))
+        bucket = _spread(*bytes_of(coded.dictionary))
         by_bucket = np.argsort(bucket, kind="stable")
         rank = np.empty(len(bucket), np.int64)
         rank[by_bucket] = np.arange(len(bucket))
@@ -219,11 +193,11 @@ def _sent(span: int):
 
 
 def _row(bucket, at, terms, counts, term_ends, docid, tf, ends) -> pa.RecordBatch:
-    offsets, data = _string_parts(terms)
-    names = _cells(data[offsets[0] : offsets[-1]], offsets[term_ends] - offsets[0])
+    offsets, data = bytes_of(terms)
+    names = cells_of(data[offsets[0] : offsets[-1]], offsets[term_ends] - offsets[0])
     ranges = pa.nulls(len(bucket), pa.int64()) if at is None else pa.array(at)
-    columns = [pa.array(bucket), ranges, names, *(_cells(c.astype(np.int32), term_ends) for c in (np.diff(offsets), counts))]
-    return pa.RecordBatch.from_arrays([*columns, _cells(docid, ends), _cells(tf, ends)], names=[c.split()[0] for c in SENT_DDL.split(", ")])
+    columns = [pa.array(bucket), ranges, names, *(cells_of(c.astype(np.int32), term_ends) for c in (np.diff(offsets), counts))]
+    return pa.RecordBatch.from_arrays([*columns, cells_of(docid, ends), cells_of(tf, ends)], names=[c.split()[0] for c in SENT_DDL.split(", ")])
 
 
 def _block(docid: np.ndarray, span: int) -> np.ndarray:
@@ -253,11 +227,11 @@ def _encoded(span: int):
     def encode(held: list[pa.RecordBatch], before: tuple) -> tuple[pa.RecordBatch | None, tuple]:
         rows = pa.Table.from_batches(held).combine_chunks()
         column = {c: rows[c].combine_chunks() for c in rows.column_names}
-        lengths, n_terms = _numbers(column["lengths"], np.int32)
-        counts = _numbers(column["counts"], np.int32)[0].astype(np.int64)
-        step, n_steps = _numbers(column["steps"])
-        tf, _ = _numbers(column["tfs"])
-        names = pa.concat_arrays([before[0], _strings(column["terms"], lengths)]).dictionary_encode()
+        lengths, n_terms = numbers_of(column["lengths"], np.int32), sizes_of(column["lengths"], np.int32)
+        counts = numbers_of(column["counts"], np.int32).astype(np.int64)
+        step, n_steps = numbers_of(column["steps"]), sizes_of(column["steps"])
+        tf = numbers_of(column["tfs"])
+        names = pa.concat_arrays([before[0], strings_of(column["terms"], lengths)]).dictionary_encode()
         terms, code = names.dictionary, names.indices.to_numpy()
         old, code = code[: len(before[0])], code[len(before[0]) :]
         df, last = np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
@@ -288,9 +262,9 @@ def _encoded(span: int):
         # Rows of whole blocks, of a few hundred gaps each unless a block has more.
         closes = np.cumsum(sizes)
         cuts = np.flatnonzero(np.r_[closes[1:] // ROW_GAPS != closes[:-1] // ROW_GAPS, True]) + 1
-        offsets, data = _string_parts(terms)
-        columns = [_cells(data[offsets[0] : offsets[-1]], offsets[cuts] - offsets[0]), _cells(np.diff(offsets).astype(np.int32), cuts)]
-        columns += [_cells(c, cuts) for c in (block, prev, df, sizes)] + [_cells(c, closes[cuts - 1]) for c in (gap, tf)]
+        offsets, data = bytes_of(terms)
+        columns = [cells_of(data[offsets[0] : offsets[-1]], offsets[cuts] - offsets[0]), cells_of(np.diff(offsets).astype(np.int32), cuts)]
+        columns += [cells_of(c, cuts) for c in (block, prev, df, sizes)] + [cells_of(c, closes[cuts - 1]) for c in (gap, tf)]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in GAPS_DDL.split(", ")])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +272,7 @@ def _encoded(span: int):
         before = (pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64), None)
         for batch in batches:
             buckets, ranges = batch["bucket"].to_numpy(), batch["range"].to_numpy(zero_copy_only=False)
-            offsets = np.frombuffer(batch["steps"].buffers()[1], np.int32)[batch["steps"].offset :][: batch.num_rows + 1]
+            offsets = offsets_of(batch["steps"])
             at = 0
             for i in range(batch.num_rows):
                 # nan of no range is unlike itself, which only makes more places where rows may be cut apart
@@ -321,8 +295,8 @@ def _encoded(span: int):
 
 def _blocks_of(rows: pa.RecordBatch) -> tuple:
     """The columns of :data:`GAPS_DDL`, flat: terms, blocks, prevs, dfs and sizes of the blocks, gaps and tfs of all."""
-    numbers = (_numbers(rows[c])[0] for c in ("blocks", "prevs", "dfs", "sizes", "gaps", "tfs"))
-    return (_strings(rows["terms"], _numbers(rows["lengths"], np.int32)[0]), *numbers)
+    numbers = (numbers_of(rows[c]) for c in ("blocks", "prevs", "dfs", "sizes", "gaps", "tfs"))
+    return (strings_of(rows["terms"], numbers_of(rows["lengths"], np.int32)), *numbers)
 
 
 def _flat_gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
