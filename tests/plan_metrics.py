@@ -17,14 +17,16 @@ def nodes(spark, action, kind):
     """``[{metric: number}]`` of every plan node of a kind that ``action`` runs; sizes are in bytes."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+    # Told by id, not by place: of a long session Spark keeps only the last executions.
+    earlier = store.executionsList()
+    before = earlier.last().executionId() if earlier.size() else -1
     action()
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     found = []
     executions = store.executionsList()
     for i in range(executions.size()):
         run = executions.apply(i).executionId()
-        if i < before:
+        if run <= before:
             continue
         values, graph = store.executionMetrics(run), store.planGraph(run).allNodes()
         for k in range(graph.size()):
